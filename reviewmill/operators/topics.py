@@ -130,7 +130,7 @@ def topic_sentiment(documents: DataFrame) -> DataFrame:
 
 
 def topic_sentiment_pivot(documents: DataFrame, labels: tuple[str, ...] = tuple(settings.THREE_CLASSES)) -> DataFrame:
-    counts = documents.groupBy("topic_id").pivot("sentiment_label", list(labels)).agg(F.count("*"))
+    counts = documents.groupBy("topic_id").pivot("sentiment_label", list(labels)).agg(F.count(F.lit(1)))
     return counts.na.fill(0, list(labels))
 
 

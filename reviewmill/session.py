@@ -48,10 +48,10 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
     """A small table often sits in one file that one task reads; deal its rows out so that the
     regex work runs on every core.  Tables above 1 GiB have splits enough and are left as they are."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size.toString()) > SMALL_INPUT_BYTES:
+    if int(size) > SMALL_INPUT_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
