@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.session import materialise
+
 
 @dataclass(frozen=True)
 class NaiveBayes:
@@ -21,14 +23,19 @@ class NaiveBayes:
     terms: DataFrame  # label, term, log_theta for the terms seen with that label
 
 
-def class_table(labelled: DataFrame, weights: DataFrame, vocab: DataFrame, label: str, alpha: float) -> DataFrame:
-    """One row per class: ``log_prior`` (not smoothed), total weight and ``log_unseen``."""
+def term_sums(weights: DataFrame, label: str) -> DataFrame:
+    """(label, term, weight) summed over reviews; at most classes x vocabulary rows."""
+    return weights.groupBy(label, "term").agg(F.sum("weight").alias("weight"))
+
+
+def class_table(labelled: DataFrame, sums: DataFrame, vocab: DataFrame, label: str, alpha: float) -> DataFrame:
+    """One row per class: ``log_prior`` (not smoothed), denominator and ``log_unseen``."""
+    known = labelled.filter(F.col(label).isNotNull())
     size = vocab.select(F.count("*").alias("n")).scalar()
-    rows = labelled.filter(F.col(label).isNotNull()).select(F.count("*").alias("n")).scalar()
-    totals = weights.groupBy(label).agg(F.sum("weight").alias("total"))
+    rows = known.select(F.count("*").alias("n")).scalar()
+    totals = sums.groupBy(label).agg(F.sum("weight").alias("total"))
     return (
-        labelled.filter(F.col(label).isNotNull())
-        .groupBy(label)
+        known.groupBy(label)
         .agg(F.count("*").alias("rows"))
         .join(totals, label, "left")
         .select(
@@ -40,30 +47,23 @@ def class_table(labelled: DataFrame, weights: DataFrame, vocab: DataFrame, label
     )
 
 
-def term_table(weights: DataFrame, classes: DataFrame, label: str, alpha: float) -> DataFrame:
-    """(label, term, log_theta) for every term seen with the label."""
-    return (
-        weights.groupBy(label, "term")
-        .agg(F.sum("weight").alias("weight"))
-        .join(F.broadcast(classes), label)
-        .select(label, "term", F.log((F.col("weight") + alpha) / F.col("denominator")).alias("log_theta"))
-    )
-
-
 def fit(
     labelled: DataFrame, weights: DataFrame, vocab: DataFrame, label: str = "sentiment_label", alpha: float = 1.0
 ) -> NaiveBayes:
-    """``labelled`` has one row per training review, ``weights`` (label, term, weight) rows."""
-    classes = class_table(labelled, weights, vocab, label, alpha)
-    rows = classes.orderBy(label).collect()  # one row per class
-    table = labelled.sparkSession.createDataFrame(
-        [(r[label], float(r["denominator"])) for r in rows], f"`{label}` string, denominator double"
-    )
+    """``labelled`` has one row per training review, ``weights`` (label, term, weight) rows.
+
+    The sums are stored, because the class totals and the term table both need them and recounting
+    would tokenise every review again.
+    """
+    sums = materialise(term_sums(weights, label))
+    rows = class_table(labelled, sums, vocab, label, alpha).orderBy(label).collect()  # one row per class
+    denominator = F.create_map(*[F.lit(x) for r in rows for x in (r[label], float(r["denominator"]))])
+    log_theta = F.log((F.col("weight") + alpha) / F.element_at(denominator, F.col(label)))
     return NaiveBayes(
         [r[label] for r in rows],
         [r["log_prior"] for r in rows],
         [r["log_unseen"] for r in rows],
-        term_table(weights, table, label, alpha).withColumnRenamed(label, "label"),
+        sums.select(F.col(label).alias("label"), "term", log_theta.alias("log_theta")),
     )
 
 

@@ -4,7 +4,7 @@ The order of rows is the md5 of (id, seed), so it is the same on every run and e
 Nothing is ever sorted as a whole.  A sample of n rows, or the border between two splits, is the
 n-th smallest hash of its stratum, and that one value is found in two narrow passes over
 (stratum, id): count rows per hash prefix, then rank only the rows of the one prefix the border
-falls in (1/4096 of the data).  The wide table is then filtered against the border, row by row,
+falls in (1/65,536 of the data).  The wide table is then filtered against the border, row by row,
 without a shuffle.
 
 Ids must be unique; equal ids stay together.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import settings
 
-PREFIX = 3  # hex digits, 4096 buckets
+PREFIX = 4  # hex digits, 65,536 buckets
 
 
 def hash_key(id_column: str, seed: int = settings.SEED) -> Column:
@@ -161,8 +161,10 @@ def split_rows(
         _check_strata(check["classes"])
         if not check["usable"]:
             stratify = None
-    # A null label is a class of its own; JSON text keeps it apart from any real value.
-    stratum = F.lit("all") if stratify is None else F.to_json(F.struct(F.col(stratify).alias("v")))
+    # A null label is a class of its own; the prefix keeps it apart from any real value.
+    stratum = F.lit("all")
+    if stratify is not None:
+        stratum = F.coalesce(F.concat(F.lit("="), F.col(stratify).cast("string")), F.lit("none"))
     narrow = df.select(stratum.alias("_class"), hash_key(id_column, seed).alias("_key"))
     plan = split_plan(narrow.groupBy("_class").agg(F.count("*").alias("rows")), test_share, val_share)
     cuts = F.expr("stack(2, 'test', test, 'val', test + val) as (cut, wanted)")

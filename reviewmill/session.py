@@ -28,12 +28,16 @@ def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="reviewmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder the cluster names for checkpoints.  Only a local session without one gets a
+    temporary folder; on a cluster that folder would exist on one machine only."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewmill-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
