@@ -125,6 +125,13 @@ def fit_predict(data: TrainingSet, estimator) -> DataFrame:
     )
 
 
+def _weights(df: DataFrame, idf: DataFrame, features: TextFeatures, keep: tuple[str, ...], id_column: str) -> DataFrame:
+    """Shuffling the texts by id first puts all terms of a review in one place; the scaling and any
+    sum per review then need no shuffle, and texts are much smaller than their exploded terms."""
+    placed = df.select(*keep, "clean_text").repartition(id_column)
+    return tfidf_weights(document_terms(placed, features, keep), idf, id_column)
+
+
 def bayes_fit(
     train: DataFrame, label: str = "sentiment_label", features: TextFeatures = SENTIMENT, id_column: str = "review_id"
 ) -> tuple[naive_bayes.NaiveBayes, DataFrame]:
@@ -132,7 +139,7 @@ def bayes_fit(
     documents = row_count(train)
     vocab = materialise(prune(term_statistics(document_terms(train, features, ())), documents, features))
     idf = idf_table(vocab, documents)
-    weights = tfidf_weights(document_terms(train, features, (id_column, label)), idf, id_column)
+    weights = _weights(train, idf, features, (id_column, label), id_column)
     return naive_bayes.fit(train, weights, vocab, label), idf
 
 
@@ -143,7 +150,7 @@ def bayes_predict(
     features: TextFeatures = SENTIMENT,
     id_column: str = "review_id",
 ) -> DataFrame:
-    weights = tfidf_weights(document_terms(test, features, (id_column,)), idf, id_column)
+    weights = _weights(test, idf, features, (id_column,), id_column)
     return naive_bayes.predict(model, test, weights, id_column)
 
 

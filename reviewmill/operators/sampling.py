@@ -52,6 +52,25 @@ def borders(narrow: DataFrame, targets: DataFrame, strata: Sequence[str]) -> Dat
     )
 
 
+def border(narrow: DataFrame, wanted: Column) -> Column:
+    """The ``wanted``-th smallest ``_key`` of the whole table, as a value inside a lazy plan.  The
+    running count covers at most 65,536 prefixes."""
+    keyed = narrow.select("_key", F.substring("_key", 1, PREFIX).alias("_prefix"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    prefixes = keyed.groupBy("_prefix").agg(F.count("*").alias("_rows")).withColumn("_upto", F.sum("_rows").over(upto))
+    border_prefix = prefixes.filter((F.col("_upto") >= wanted) & (F.col("_upto") - F.col("_rows") < wanted)).select(
+        "_prefix", (wanted - F.col("_upto") + F.col("_rows")).alias("_nth")
+    )
+    nth = Window.partitionBy("_prefix").orderBy("_key")
+    return (
+        keyed.join(F.broadcast(border_prefix), "_prefix")
+        .withColumn("_rank", F.row_number().over(nth))
+        .filter(F.col("_rank") == F.col("_nth"))
+        .select("_key")
+        .scalar()
+    )
+
+
 def _check_strata(count: int) -> None:
     if count > settings.MAX_BROADCAST_ROWS:
         raise ValueError(f"{count} strata; splitting by a column needs at most {settings.MAX_BROADCAST_ROWS}")
@@ -59,10 +78,9 @@ def _check_strata(count: int) -> None:
 
 def sample_rows(df: DataFrame, n: int, id_column: str = "review_id", seed: int = settings.SEED) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the ones with the smallest hashes."""
-    narrow = df.select(F.lit(0).alias("_all"), hash_key(id_column, seed).alias("_key"))
-    targets = narrow.groupBy("_all").agg(F.least(F.count("*"), F.lit(n)).alias("wanted")).withColumn("cut", F.lit("in"))
-    border = borders(narrow, targets, ["_all"]).select("border")
-    return df.filter(hash_key(id_column, seed) <= border.scalar())
+    narrow = df.select(hash_key(id_column, seed).alias("_key"))
+    wanted = narrow.select(F.least(F.count("*"), F.lit(n))).scalar()
+    return df.filter(hash_key(id_column, seed) <= border(narrow, wanted))
 
 
 def sample_for_mode(df: DataFrame, mode: str, id_column: str = "review_id") -> DataFrame:
@@ -82,9 +100,9 @@ def balanced_sample(
     narrow = usable.select(label, hash_key(id_column, seed).alias("_key"))
     sizes = narrow.groupBy(label).agg(F.least(F.count("*"), F.lit(per_class)).alias("wanted"))
     _check_strata(sizes.count())
-    border = borders(narrow, sizes.withColumn("cut", F.lit("in")), [label]).select(label, "border")
+    limits = borders(narrow, sizes.withColumn("cut", F.lit("in")), [label]).select(label, "border")
     return (
-        usable.join(F.broadcast(border), label)
+        usable.join(F.broadcast(limits), label)
         .filter(hash_key(id_column, seed) <= F.col("border"))
         .select(*df.columns)
     )
@@ -168,7 +186,7 @@ def split_rows(
     narrow = df.select(stratum.alias("_class"), hash_key(id_column, seed).alias("_key"))
     plan = split_plan(narrow.groupBy("_class").agg(F.count("*").alias("rows")), test_share, val_share)
     cuts = F.expr("stack(2, 'test', test, 'val', test + val) as (cut, wanted)")
-    border = (
+    limits = (
         borders(narrow, plan.select("_class", cuts).filter("wanted > 0"), ["_class"])
         .groupBy("_class")
         .pivot("cut", ["test", "val"])
@@ -179,7 +197,7 @@ def split_rows(
     split = F.when(key <= F.col("_test"), "test").when(key <= F.col("_val"), "val").otherwise("train")
     return (
         df.withColumn("_class", stratum)
-        .join(F.broadcast(border), "_class", "left")
+        .join(F.broadcast(limits), "_class", "left")
         .withColumn("split", split)
         .select(*df.columns, "split")
     )
@@ -206,11 +224,7 @@ def course_holdout(
     count = courses.count()
     if count < min_courses:
         return None
-    narrow = courses.select(F.lit(0).alias("_all"), hash_key(course, seed).alias("_key"))
     wanted = max(1, round(count * share))  # Python rounds half to even, as wanted here
-    targets = narrow.sparkSession.range(1).select(
-        F.lit(0).alias("_all"), F.lit(wanted).alias("wanted"), F.lit("in").alias("cut")
-    )
-    border = borders(narrow, targets, ["_all"]).select("border").scalar()
-    held_out = F.coalesce(hash_key(course, seed) <= border, F.lit(False))
+    limit = border(courses.select(hash_key(course, seed).alias("_key")), F.lit(wanted))
+    held_out = F.coalesce(hash_key(course, seed) <= limit, F.lit(False))
     return df.withColumn("split", F.when(held_out, "test").otherwise("train"))

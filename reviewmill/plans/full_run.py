@@ -96,6 +96,13 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
         results["sentiment_predictions"] = predictions
         results["best_model_confusion"] = metrics.best_model_confusion(predictions)
 
+    # The main set rarely carries feedback flags; without them this is one row that says so.
+    own_flags = multilabel.train_multilabel(split.filter("split = 'train'"), split.filter("split = 'test'"))
+    results["multilabel_results"] = own_flags.results
+    if own_flags.predictions is not None:
+        results["multilabel_predictions"] = own_flags.predictions
+        results["multilabel_label_report"] = own_flags.label_report
+
     found = topics.fit_topics(main, settings.TOPIC_COUNT[study.mode])
     if found is None:
         results["topic_summary"] = topics.too_few_documents(main, main.count())
@@ -126,7 +133,7 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
             results["auxiliary_multilabel_label_report"] = flags.label_report
             results["multilabel_label_distribution"] = summaries.flag_distribution(aux, settings.FEEDBACK_FLAGS)
 
-    results["model_comparison"] = metrics.model_comparison(scores, results["auxiliary_multilabel_results"])
+    results["model_comparison"] = metrics.model_comparison(scores, results["multilabel_results"])
     if predictions is not None or flag_predictions is not None:
         results["error_cases"] = errors.error_cases(predictions, flag_predictions)
     for name, table in results.items():
