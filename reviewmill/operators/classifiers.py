@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml.classification import (
     LinearSVC,
@@ -34,7 +35,7 @@ from reviewmill.operators.features import (
 from reviewmill.operators.guards import FEW_CLASSES, sentiment_not_run
 from reviewmill.operators.labeling import SentimentInfo
 from reviewmill.operators.metrics import sentiment_metrics
-from reviewmill.session import materialise
+from reviewmill.session import in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -173,16 +174,16 @@ def train_sentiment_baselines(
     keep = [c for c in ("review_id", "review_text", "course_id") if c in test.columns]
     linear = [name for name in models if name in ESTIMATORS]
     data = prepare(train, test, label, features, keep) if linear else None
-    parts = []
-    for name in models:
+
+    def predict(name: str) -> DataFrame:
         if name == settings.BAYES_NAME:
             model, idf = bayes_fit(train, label, features)
             predicted = bayes_predict(model, idf, test, features).withColumn("true_label", F.col(label))
         else:
             predicted = fit_predict(data, ESTIMATORS[name](data.rows))
-        parts.append(
-            predicted.select(F.lit(name).alias("model"), *keep, "clean_text", "true_label", "predicted_label")
-        )
+        return predicted.select(F.lit(name).alias("model"), *keep, "clean_text", "true_label", "predicted_label")
+
+    parts = in_parallel([partial(predict, name) for name in models], at_once=2)
     predictions = parts[0]
     for part in parts[1:]:
         predictions = predictions.unionByName(part)

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
-from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer
+from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer, multilabel_variant_features
 from reviewmill.operators.guards import CONSTANT_FLAGS, NO_FLAGS, multilabel_not_run
 from reviewmill.operators.metrics import multilabel_metrics, per_label_report
-from reviewmill.session import materialise
+from reviewmill.session import in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,14 @@ def label_set(flags: Sequence[str], prefix: str = "") -> Column:
     return F.concat_ws("; ", *[F.when(F.col(f"`{prefix}{f}`") == 1, F.lit(f)) for f in flags])
 
 
+def _fit_flag(vectors: DataFrame, flag: str, positives: int, rows: int):
+    """Balanced binary logistic regression for one flag."""
+    weight = F.when(F.col(f"`{flag}`") == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
+    return LogisticRegression(
+        family="binomial", weightCol="_weight", standardization=False, regParam=1.0 / rows, maxIter=100, tol=1e-4
+    ).fit(vectors.select("features", F.col(f"`{flag}`").cast("double").alias("label"), weight.alias("_weight")))
+
+
 def train_multilabel(
     train: DataFrame,
     test: DataFrame,
@@ -56,7 +65,7 @@ def train_multilabel(
     id_column: str = "review_id",
 ) -> MultilabelResult:
     """Flags that never vary in training keep their constant; the others get a balanced logistic
-    regression each, fitted one after the other on the same stored vectors."""
+    regression each, fitted on the same stored vectors."""
     spark = train.sparkSession
     available = [f for f in flags if f in train.columns]
     if not available:
@@ -73,12 +82,8 @@ def train_multilabel(
         vectorizer = Vectorizer.fit(train, features)
         vectors = materialise(vectorizer.transform(train).select("features", *[f"`{f}`" for f in active]))
         scored = materialise(vectorizer.transform(test))
-        for flag in active:
-            positives = totals[flag]
-            weight = F.when(F.col(f"`{flag}`") == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
-            model = LogisticRegression(
-                family="binomial", weightCol="_weight", standardization=False, regParam=1.0 / rows, maxIter=100, tol=1e-4
-            ).fit(vectors.select("features", F.col(f"`{flag}`").cast("double").alias("label"), weight.alias("_weight")))
+        fits = in_parallel([partial(_fit_flag, vectors, flag, totals[flag], rows) for flag in active])
+        for flag, model in zip(active, fits):
             scored = model.transform(scored).withColumn(f"pred_{flag}", F.col("prediction").cast("int"))
             scored = scored.drop("rawPrediction", "probability", "prediction")
         test = scored.drop("features")
@@ -104,8 +109,6 @@ def train_multilabel_variant(
 ) -> MultilabelResult:
     """Second setting: train and validation rows together, accents stripped, no upper frequency
     limit, and only flags that vary in the train split."""
-    from reviewmill.operators.features import multilabel_variant_features
-
     train = split.filter("split = 'train'")
     present = [f for f in flags if f in split.columns]
     if present:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 
+from functools import partial
+
+from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from reviewmill.operators.features import TOPICS, Vectorizer, ablation_features
 from reviewmill.operators.metrics import sentiment_metrics
 from reviewmill.operators.sampling import course_holdout, sample_rows, split_rows
 from reviewmill.operators.topics import topic_count
-from reviewmill.session import materialise
+from reviewmill.session import in_parallel, materialise
 
 ROW = (
     "experiment string, status string, metric string, value double, accuracy double, precision_macro double, "
@@ -42,8 +45,6 @@ def split_for(df: DataFrame, label: str, holdout: bool) -> DataFrame:
 
 def with_topic_shares(data: TrainingSet, train: DataFrame, test: DataFrame) -> TrainingSet:
     """Append the topic shares of an LDA fitted on the training rows only."""
-    from pyspark.ml.clustering import LDA
-
     counts = Vectorizer.fit(train, TOPICS, weighting="counts", output="topic_counts")
     train_counts = materialise(counts.transform(train.select("review_id", "clean_text")))
     k = topic_count(train_counts.count(), settings.TOPIC_COUNT["quick"], len(counts.terms))
@@ -100,24 +101,29 @@ def run_main_ablation(
     fitted on training rows; by default it is reported as not run."""
     spark = main.sparkSession
     sampled = materialise(sample_rows(main, settings.ABLATION_ROWS[mode]))
-    rows = [
-        run_experiment(sampled, "sentiment_label", "3class_random_split_unigram_bigram"),
-        run_experiment(sampled, "label_5class", "5class_random_split_unigram_bigram"),
-        run_experiment(sampled, "sentiment_label", "3class_random_split_unigram", (1, 1)),
-        run_experiment(sampled, "sentiment_label", "3class_course_holdout_split", holdout=True),
-    ]
+    runs = {
+        "three": partial(run_experiment, sampled, "sentiment_label", "3class_random_split_unigram_bigram"),
+        "five": partial(run_experiment, sampled, "label_5class", "5class_random_split_unigram_bigram"),
+        "unigram": partial(run_experiment, sampled, "sentiment_label", "3class_random_split_unigram", (1, 1)),
+        "holdout": partial(run_experiment, sampled, "sentiment_label", "3class_course_holdout_split", holdout=True),
+    }
     if topic_features:
-        rows.append(run_experiment(sampled, "sentiment_label", "with_topic_features", topic_shares=True))
-    else:
-        rows.append(not_run("with_topic_features", NO_TOPIC_NOTE))
-    if weak is None or weak.isEmpty():
-        rows.append(not_run("kaggle_145m_weak_label_sample", NO_WEAK_NOTE))
-    else:
-        # Same data and settings as the first experiment, so its numbers are reported, not refitted.
-        rows.append(("kaggle_100k_only", *rows[0][1:]))
+        runs["topics"] = partial(run_experiment, sampled, "sentiment_label", "with_topic_features", topic_shares=True)
+    has_weak = weak is not None and not weak.isEmpty()
+    if has_weak:
         sample = materialise(sample_rows(weak, settings.ABLATION_WEAK_ROWS[mode]))
-        row = run_experiment(sample, "sentiment_label", "kaggle_145m_weak_label_sample")
+        runs["weak"] = partial(run_experiment, sample, "sentiment_label", "kaggle_145m_weak_label_sample")
+    done = dict(zip(runs, in_parallel(list(runs.values()))))
+
+    rows = [done["three"], done["five"], done["unigram"], done["holdout"]]
+    rows.append(done.get("topics") or not_run("with_topic_features", NO_TOPIC_NOTE))
+    if has_weak:
+        # Same data and settings as the first experiment, so its numbers are reported, not refitted.
+        rows.append(("kaggle_100k_only", *done["three"][1:]))
+        row = done["weak"]
         rows.append((*row[:-1], f"{row[-1]} Weak-label rows used: {sample.count()} of {weak.count()}."))
+    else:
+        rows.append(not_run("kaggle_145m_weak_label_sample", NO_WEAK_NOTE))
     return spark.createDataFrame(rows, ROW)
 
 

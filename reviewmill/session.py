@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SMALL_INPUT_BYTES = 1 << 30
@@ -59,3 +62,11 @@ def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
     if int(size) > SMALL_INPUT_BYTES:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def in_parallel(calls: Sequence[Callable], at_once: int = 4) -> list:
+    """Results of independent fits in order.  Their many short jobs share the cluster, so that one
+    fit's driver work overlaps another's tasks; ``at_once`` bounds how many hold data in memory."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPool(max(1, min(at_once, len(calls)))) as pool:
+        return pool.map(lambda call: call(), [inherit(call) for call in calls], chunksize=1)
