@@ -35,7 +35,7 @@ from reviewmill.operators.features import (
 from reviewmill.operators.guards import FEW_CLASSES, sentiment_not_run
 from reviewmill.operators.labeling import SentimentInfo
 from reviewmill.operators.metrics import sentiment_metrics
-from reviewmill.session import in_parallel, materialise
+from reviewmill.session import for_many_passes, in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -105,8 +105,6 @@ def random_forest(rows: int, trees: int = 40, depth: int = 30):
         featureSubsetStrategy="sqrt",
         weightCol="class_weight",
         seed=settings.SEED,
-        cacheNodeIds=False,
-        maxMemoryInMB=512,
     )
 
 
@@ -119,7 +117,10 @@ ESTIMATORS: dict[str, Callable] = {
 
 def fit_predict(data: TrainingSet, estimator) -> DataFrame:
     """Fit on the training vectors; test rows with ``predicted_label``."""
-    model = estimator.setFeaturesCol("features").setLabelCol("label").fit(data.train)
+    # Growing trees is heavy work per row, a gradient is not.
+    heavy = isinstance(estimator, RandomForestClassifier)
+    train = data.train if heavy else for_many_passes(data.train, data.rows)
+    model = estimator.setFeaturesCol("features").setLabelCol("label").fit(train)
     scored = model.transform(data.test)
     return scored.withColumn("predicted_label", decode(F.col("prediction"), data.classes)).drop(
         "features", "rawPrediction", "probability", "prediction"

@@ -14,7 +14,7 @@ from reviewmill import settings
 from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer, multilabel_variant_features
 from reviewmill.operators.guards import CONSTANT_FLAGS, NO_FLAGS, multilabel_not_run
 from reviewmill.operators.metrics import multilabel_metrics, per_label_report
-from reviewmill.session import in_parallel, materialise
+from reviewmill.session import for_many_passes, in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -82,6 +82,7 @@ def train_multilabel(
         vectorizer = Vectorizer.fit(train, features)
         vectors = materialise(vectorizer.transform(train).select("features", *[f"`{f}`" for f in active]))
         scored = materialise(vectorizer.transform(test))
+        vectors = for_many_passes(vectors, rows)
         fits = in_parallel([partial(_fit_flag, vectors, flag, totals[flag], rows) for flag in active])
         for flag, model in zip(active, fits):
             scored = model.transform(scored).withColumn(f"pred_{flag}", F.col("prediction").cast("int"))

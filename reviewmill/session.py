@@ -55,6 +55,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def for_many_passes(df: DataFrame, rows: int, rows_per_task: int = 1000) -> DataFrame:
+    """A stored table that an iterative fit reads once per pass: a few thousand rows do not deserve a
+    task per core and pass.  Large tables have fewer splits than this asks for and stay as they are."""
+    wanted = max(1, rows // rows_per_task)
+    return df.coalesce(wanted)
+
+
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
     """A small table often sits in one file that one task reads; deal its rows out so that the
     regex work runs on every core.  Tables above 1 GiB have splits enough and are left as they are."""
