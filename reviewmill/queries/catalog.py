@@ -19,7 +19,6 @@ from reviewmill.operators import (
     labeling,
     metrics,
     multilabel,
-    naive_bayes,
     sampling,
     summaries,
     topics,
