@@ -119,11 +119,10 @@ def scan(
             return found
         return F.filter("starts", at)
 
-    # One array of (place, label), so the words are searched once.
-    found = F.flatten(F.array(*[
-        F.transform(stands(phrase), lambda i, label=label: F.struct(i.alias("at"), F.lit(label).alias("label")))
-        for label, phrase in sorted(phrases.items())
-    ]))
+    def labelled(label: str) -> Column:
+        return F.transform(stands(phrases[label]), lambda i: F.struct(i.alias("at"), F.lit(label).alias("label")))
+
+    found = F.flatten(F.array(*[labelled(label) for label in sorted(phrases)]))
     # A block keeps its template words only, in the order of the templates' words.
     blocks = F.when(
         F.arrays_overlap("words", rare),
