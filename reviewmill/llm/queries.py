@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import license_scan, mixing, quality_rules, sharding
+from reviewmill.llm import license_scan, mixing, quality_rules, secret_scan, sharding, token_counts
 from reviewmill.llm.oracles import ORACLES
 from reviewmill.llm.shared import documents
 
@@ -15,6 +15,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -27,5 +31,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op6_quality_rules, op8_mixing, op9_sharding)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_secret_scan, op6_quality_rules, op8_mixing, op9_sharding, op10_token_counts)}
 __all__ = ["ORACLES", "QUERIES"]
