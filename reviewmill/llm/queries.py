@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import license_scan, mixing, quality_rules, secret_scan, sharding, token_counts
+from reviewmill.llm import license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, token_counts
 from reviewmill.llm.oracles import ORACLES
 from reviewmill.llm.shared import documents
 
@@ -23,6 +23,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(documents(spark, sf_dir))
 
@@ -35,5 +39,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_secret_scan, op6_quality_rules, op8_mixing, op9_sharding, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_secret_scan, op6_quality_rules, op7_near_dedup, op8_mixing, op9_sharding, op10_token_counts)}
 __all__ = ["ORACLES", "QUERIES"]
