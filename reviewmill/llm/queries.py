@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, token_counts, toxicity
+from reviewmill.llm import decontaminate, license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, token_counts, toxicity
 from reviewmill.llm.oracles import ORACLES
 from reviewmill.llm.shared import documents
 
@@ -23,6 +23,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -43,5 +47,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_toxicity, op4_secret_scan, op6_quality_rules, op7_near_dedup, op8_mixing, op9_sharding, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_toxicity, op4_secret_scan, op5_decontamination, op6_quality_rules, op7_near_dedup, op8_mixing, op9_sharding, op10_token_counts)}
 __all__ = ["ORACLES", "QUERIES"]
