@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.shared import raw_texts, sliced
+from reviewmill.llm.shared import sliced
 from reviewmill.session import materialise
 
 PASSAGE = 64
@@ -37,14 +37,12 @@ SUBSEQUENCE = 0.6
 ANSWER = 0.5
 SEED = 20
 
-SEPARATE = bytes.maketrans(
-    bytes(range(128)), bytes(c if chr(c).isalnum() else 32 for c in range(128)).lower()
-)
+SEPARATE = bytes.maketrans(bytes(range(128)), bytes(c if chr(c).isalnum() else 32 for c in range(128)))
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Letters and digits, A-Z lower-cased; bytes beyond ASCII belong to words."""
-    return text.translate(SEPARATE).split()
+def words_of(text: str) -> list[bytes]:
+    """Lower-cased runs of letters and digits; everything beyond ASCII belongs to words."""
+    return text.lower().encode().translate(SEPARATE).split()
 
 
 @dataclass
@@ -61,13 +59,13 @@ class Benchmark:
         vocabulary: dict[bytes, int] = {}
         ids, items, answers = [], [], []
         for row in rows:
-            words = words_of((row.text or "").encode())
+            words = words_of(row.text or "")
             if not words:
                 continue
             numbers = np.array([vocabulary.setdefault(word, len(vocabulary) + 1) for word in words])
-            sentences = [part for part in re.split(r"[.!?\n]+", row.text) if words_of(part.encode())]
+            sentences = [part for part in re.split(r"[.!?\n]+", row.text) if words_of(part)]
             answer = getattr(row, "answer", None) or sentences[-1]
-            known = {vocabulary[word] for word in words_of(answer.encode()) if word in vocabulary}
+            known = {vocabulary[word] for word in words_of(answer) if word in vocabulary}
             ids.append(row.item_id)
             items.append(numbers)
             answers.append(np.array(sorted(known or set(numbers.tolist()))))
@@ -77,7 +75,7 @@ class Benchmark:
     def dtype(self):
         return np.uint16 if len(self.vocabulary) < 1 << 16 else np.uint32
 
-    def numbers(self, text: bytes) -> np.ndarray:
+    def numbers(self, text: str) -> np.ndarray:
         get = self.vocabulary.get
         return np.array([get(word, 0) for word in words_of(text)], self.dtype)
 
@@ -87,7 +85,7 @@ def numbered_texts(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 500):
-            packed = [benchmark.numbers(text).tobytes() for text in raw_texts(batch.column("text"))]
+            packed = [benchmark.numbers(text or "").tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "numbers"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id bigint, numbers binary")
@@ -311,8 +309,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def clean(batches: Iterator[pa.RecordBatch], search: Search = search) -> Iterator[pa.RecordBatch]:
             for batch in sliced(batches, 500):
-                texts = raw_texts(batch.column("text"))
-                yield batch.filter(pa.array([not search.found(search.benchmark.numbers(text)) for text in texts], pa.bool_()))
+                texts = batch.column("text").to_pylist()
+                yield batch.filter(pa.array([not search.found(search.benchmark.numbers(text or "")) for text in texts], pa.bool_()))
 
         result = result.mapInArrow(clean, docs.schema)
     return result
