@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import decontaminate, license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, token_counts, toxicity
+from reviewmill.llm import decontaminate, license_scan, lm_scoring, mixing, near_dedup, quality_rules, secret_scan, sharding, token_counts, toxicity
 from reviewmill.llm.oracles import ORACLES
 from reviewmill.llm.shared import documents
 
@@ -15,6 +15,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.pseudo_likelihood(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -47,5 +51,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_toxicity, op4_secret_scan, op5_decontamination, op6_quality_rules, op7_near_dedup, op8_mixing, op9_sharding, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_lm_scoring, op3_toxicity, op4_secret_scan, op5_decontamination, op6_quality_rules, op7_near_dedup, op8_mixing, op9_sharding, op10_token_counts)}
 __all__ = ["ORACLES", "QUERIES"]
