@@ -80,57 +80,31 @@ def attached(rows: DataFrame, per_source: DataFrame) -> DataFrame:
     return rows.join(right, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
-def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken (= copies * size).
-
-    ``docs`` needs doc_id, source and text; other columns are ignored.  A null text has size 0 and is never
-    taken, a null source is a source of its own, a null id draws as "null"; rows that agree in id and size
-    draw alike.  No rows in, no rows out.
-    """
-    size = word_count(F.col("text"))
+def with_length_class(rows: DataFrame) -> DataFrame:
+    """Adds v, which grows with the digits of the binary size."""
     bits = F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0)
-    sized = materialise(
-        docs.select("doc_id", "source", size.alias("size")).withColumn("v", (bits + 8).cast("long"))
-    )
-    classes = materialise(sized.groupBy("source", "v").agg(F.sum("size").alias("words")))
-    aimed = materialise(
-        targets(materialise(ranked_sources(classes.groupBy("source").agg(F.sum("words").alias("source_size")), weights)), most)
-    )
-    per_source = attached(aimed, rates(attached(classes, aimed.select("source", "target")), most))
+    return rows.withColumn("v", (bits + 8).cast("long"))
 
+
+def with_order(rows: DataFrame, most: int, seed: str) -> DataFrame:
+    """Adds certain (whole copies) and order: the Pareto ratio q as q / (1 + q), null where nothing is drawn."""
     expected = F.least(F.lit(float(most)), F.coalesce(F.col("rate"), F.lit(0.0)) * F.col("v"))
-    certain = F.floor("expected").cast("long")
-    drawn = unit_draw(F.concat(id_text(F.col("doc_id")), F.lit(":"), F.col("size").cast("string"), F.lit(f":{seed}")))
+    key = F.concat(id_text(F.col("doc_id")), F.lit(":"), F.col("size").cast("string"), F.lit(f":{seed}"))
     ratio = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    ranked = materialise(
-        attached(sized, per_source)
-        .withColumn("expected", expected)
-        .withColumn("certain", certain)
+    return (
+        rows.withColumn("expected", expected)
+        .withColumn("certain", F.floor("expected").cast("long"))
         .withColumn("p", F.when(F.col("size") > 0, F.col("expected") - F.col("certain")).otherwise(0.0))
-        .withColumn("u", drawn)
+        .withColumn("u", unit_draw(key))
         .withColumn("order", F.when(F.col("p") > 0, ratio / (1 + ratio)))
         .withColumn("cell", F.floor(F.col("order") * CELLS).cast("int"))
-        .select("doc_id", "source", "size", "source_size", "target", "certain", "order", "cell")
-    )
-    sampled = attached(ranked, border(ranked))
-    at_border = F.col("cell") == F.col("border")
-    clear = sampled.filter(~F.coalesce(at_border, F.lit(False))).withColumn(
-        "extra", F.coalesce(F.col("cell") < F.col("border"), F.lit(False)).cast("long")
-    )
-    so_far = Window.partitionBy("source").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = sampled.filter(at_border).withColumn(
-        "extra", (2 * (F.sum("size").over(so_far) + F.col("before")) - F.col("size") <= 2 * F.col("open")).cast("long")
-    )
-    return (
-        clear.unionByName(edge)
-        .withColumn("copies", F.col("certain") + F.col("extra"))
-        .select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .drop("expected", "p", "u")
     )
 
 
 def border(ranked: DataFrame) -> DataFrame:
-    """source, open, border, before: the words left open by the certain copies, the cell in which the sample
-    ends (``CELLS`` if it takes all) and the words of the cells before it."""
+    """source, border, last: the cell in which the sample ends (``CELLS`` if it takes all) and the last document
+    taken there (null if none).  Only the documents of a source's border cell meet in one task."""
     cells = ranked.groupBy("source", "cell").agg(
         F.sum(F.when(F.col("cell").isNotNull(), F.col("size"))).alias("words"),
         F.sum(F.col("certain") * F.col("size")).alias("given"),
@@ -144,8 +118,58 @@ def border(ranked: DataFrame) -> DataFrame:
         F.coalesce(before, F.lit(0)).alias("before"),
     )
     ends = F.col("cell").isNotNull() & (F.col("before") + F.col("words") > F.col("open"))
-    return cut.groupBy("source").agg(
-        F.first("open").alias("open"),
-        F.coalesce(F.min(F.when(ends, F.col("cell"))), F.lit(CELLS)).alias("border"),
-        F.coalesce(F.min_by(F.when(ends, F.col("before")), F.when(ends, F.col("cell"))), F.lit(0)).alias("before"),
+    found = materialise(
+        cut.groupBy("source").agg(
+            F.first("open").alias("open"),
+            F.coalesce(F.min(F.when(ends, F.col("cell"))), F.lit(CELLS)).alias("border"),
+            F.coalesce(F.min_by(F.when(ends, F.col("before")), F.when(ends, F.col("cell"))), F.lit(0)).alias("before"),
+        )
+    )
+    so_far = by_source.orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = attached(ranked, found).filter(F.col("cell") == F.col("border"))
+    taken = edge.withColumn("sum", F.sum("size").over(so_far) + F.col("before")).filter(
+        2 * F.col("sum") - F.col("size") <= 2 * F.col("open")
     )
+    last = taken.groupBy("source").agg(F.max(F.struct("order", "doc_id", "size")).alias("last"))
+    return attached(found.select("source", "border"), last)
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """The sized documents, and a row per source: source_size, target, rate, border, last."""
+    sized = materialise(with_length_class(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))))
+    classes = materialise(sized.groupBy("source", "v").agg(F.sum("size").alias("words")))
+    sizes = classes.groupBy("source").agg(F.sum("words").alias("source_size"))
+    aimed = materialise(targets(materialise(ranked_sources(sizes, weights)), most))
+    rated = materialise(attached(aimed.drop("weight"), rates(attached(classes, aimed.select("source", "target")), most)))
+    ranked = materialise(with_order(attached(sized, rated), most, seed))
+    return sized, attached(rated, border(ranked))
+
+
+def with_copies(rows: DataFrame, per_source: DataFrame, most: int, seed: str) -> DataFrame:
+    """Adds ``copies`` to rows with doc_id, source, size and v."""
+    here = F.struct("order", "doc_id", "size")
+    drawn = (F.col("cell") < F.col("border")) | ((F.col("cell") == F.col("border")) & (here <= F.col("last")))
+    planned = with_order(attached(rows, per_source), most, seed)
+    return planned.withColumn("copies", F.col("certain") + F.coalesce(drawn, F.lit(False)).cast("long"))
+
+
+def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, copies, taken (= copies * size).
+
+    ``docs`` needs doc_id, source and text; other columns are ignored.  A null text has size 0 and adds no words, a
+    null source is a source of its own, a null id draws as "null"; rows that agree in id and size are taken alike,
+    also at the border.  No rows in, no rows out.
+    """
+    sized, per_source = plan(docs, weights, most, seed)
+    return with_copies(sized, per_source, most, seed).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; documents without words never.  The decisions need
+    a row per source only, so no text is shuffled."""
+    _, per_source = plan(docs, weights, most, seed)
+    narrow = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
+    chosen = with_copies(with_length_class(narrow), per_source, most, seed).filter("copies > 0 and size > 0")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

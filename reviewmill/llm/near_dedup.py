@@ -279,3 +279,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return some.unionByName(none).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with all their columns; of rows that repeat an
+    id one stays.  Rows without an id stay, as nothing names them in a group."""
+    found = materialise(near_duplicates(docs).filter("doc_id is not null"))
+    gone = found.filter("not kept").select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = materialise(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return rest
+    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return rest.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.shared import id_text, numbered, unit_draw
-from reviewmill.session import materialise
 
 # Cells per shard for numbering the slots; fixed, so a task's share shrinks as tasks are added.
 CELLS = 1024
@@ -74,29 +73,28 @@ def shard_of(key: Column, tree: Tree) -> Column:
     return choose(key, regions)
 
 
-def place(docs: DataFrame, tree: Tree, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id, size, text_crc32, law, shard, slot, grown_shard.
+def place(docs: DataFrame, tree: Tree, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard, and the ``carried`` columns.
 
     Law ``key``: the id and the tree decide.  Size is the text's UTF-8 bytes plus 1 (null text: 1, crc 0).
-    Rows with the same id share a shard; null ids count as the id "null".  Other columns are ignored.
-    Slots are 0, 1, 2, ... within a shard, by a hash of id and text.
+    Rows with the same id share a shard; null ids count as the id "null".  Slots are 0, 1, 2, ... within a shard, by a
+    hash of id and text.  Columns that are not carried are ignored; a carried one may not have a result's name.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        F.col(id_column).alias("doc_id"),
+        "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        *carried,
     )
     key = id_text(F.col("doc_id"))
-    placed = materialise(
-        rows.select(
-            "*",
-            F.lit("key").alias("law"),
-            shard_of(key, tree).cast("int").alias("shard"),
-            shard_of(key, tree.grown()).cast("int").alias("grown_shard"),
-            F.pmod(F.xxhash64(key, "text_crc32"), F.lit(CELLS)).cast("int").alias("cell"),
-        )
+    placed = rows.select(
+        "*",
+        F.lit("key").alias("law"),
+        shard_of(key, tree).cast("int").alias("shard"),
+        shard_of(key, tree.grown()).cast("int").alias("grown_shard"),
+        F.pmod(F.xxhash64(key, "text_crc32"), F.lit(CELLS)).cast("int").alias("_cell"),
     )
-    return numbered(placed, "shard", "cell", ["doc_id", "text_crc32", "size"], "slot").select(
-        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    return numbered(placed, "shard", "_cell", ["doc_id", "text_crc32", "size"], "slot").select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", *carried
     )

@@ -63,20 +63,20 @@ def numbered(df: DataFrame, group: str, cell: str, order: list[str], name: str)
 
     ``cell`` is a small integer that deals the rows of a group out evenly, so no task sees a whole group:
     rows are numbered within (group, cell) and the cells' counts give the offsets.  The table of counts has
-    one row per group and cell, whatever the number of rows; it is read twice, so ``df`` should be a stored
-    table.  Rows that agree in everything are numbered in any order.
+    one row per group and cell, whatever the number of rows.  ``df`` is read twice and must come out alike.
+    Rows that agree in everything are numbered in any order.
     """
     counts = df.groupBy(group, cell).agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col(group).alias("_group"),
-        F.col(cell).alias("_cell"),
+        F.col(cell).alias("_place"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
     within = F.row_number().over(Window.partitionBy(group, cell).orderBy(*order)) - 1
     return (
         df.withColumn("_within", within)
-        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col(cell) == F.col("_cell")))
+        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col(cell) == F.col("_place")))
         .withColumn(name, (F.col("_within") + F.col("_before")).cast("long"))
-        .drop("_within", "_before", "_group", "_cell")
+        .drop("_within", "_before", "_group", "_place")
     )
