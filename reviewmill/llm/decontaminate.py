@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Each text becomes the numbers of its words in the benchmark's vocabulary (0 for any other word), stored once.
-2. TF-IDF over passages of ``PASSAGE`` words, without words that more than ``COMMON`` of the passages have (an item
+2. TF-IDF over passages of ``PASSAGE`` words, without the words in more than ``COMMON`` passages (an item
    keeps its ``RAREST`` rarest words in any case).
 3. A randomised SVD of the passages and the benchmark items: with A the TF-IDF rows, every task sums its share of
    A'(A R) for a random matrix R; the driver adds one matrix of vocabulary by ``RANK`` and takes its basis.
@@ -28,7 +28,8 @@ from reviewmill.llm.shared import sliced
 from reviewmill.session import materialise
 
 PASSAGE = 64
-COMMON = 0.01
+# A word is common in more passages than this number and this share of all.
+COMMON = (50, 0.01)
 RAREST = 8
 RANK = 96
 BLOCK = 20_000
@@ -65,7 +66,7 @@ class Benchmark:
             numbers = np.array([vocabulary.setdefault(word, len(vocabulary) + 1) for word in words])
             sentences = [part for part in re.split(r"[.!?\n]+", row.text) if words_of(part)]
             answer = getattr(row, "answer", None) or sentences[-1]
-            known = {vocabulary[word] for word in words_of(answer) if word in vocabulary}
+            known = {vocabulary.setdefault(word, len(vocabulary) + 1) for word in words_of(answer)}
             ids.append(row.item_id)
             items.append(numbers)
             answers.append(np.array(sorted(known or set(numbers.tolist()))))
@@ -133,7 +134,7 @@ def document_frequencies(numbered: DataFrame, benchmark: Benchmark) -> tuple[np.
 def term_weights(benchmark: Benchmark, counts: np.ndarray, total: int) -> np.ndarray:
     """Inverse document frequencies; 0 for words outside the vocabulary of the TF-IDF."""
     weights = np.log((1 + total) / (1 + counts)) + 1
-    common = counts > COMMON * max(total, 1)
+    common = counts > COMMON[0] + COMMON[1] * total
     for item in benchmark.items:
         rarest = sorted(set(item.tolist()), key=lambda word: (counts[word], word))[:RAREST]
         common[rarest] = False

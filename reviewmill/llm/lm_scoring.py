@@ -33,7 +33,7 @@ EMBEDDING = 12
 HIDDEN = 32
 ROUNDS = 2
 MASKED = 1 / 8
-STEP_ROWS = 512
+STEP_ROWS = 256
 RATE = 0.1
 SEED = 7
 # Counts that a task keeps before it passes them on.

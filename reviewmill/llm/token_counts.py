@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SCHEMA = "doc_id bigint, section int, start bigint, end bigint, n_tokens bigint, n_crossing bigint"
 
 
-@lru_cache(maxsize=2)
 def encoding(path: str):
-    """The encoder and the number of bytes of each of its tokens, once per worker."""
+    """The encoder and the number of bytes of each of its tokens."""
     import tiktoken
 
     with open(path, "rb") as lines:
