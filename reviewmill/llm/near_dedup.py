@@ -7,16 +7,20 @@
    order: number of sketches with the value, then the value).  Values that no other sketch has use up places
    without needing a list, so most documents enter none, and a passage that thousands of different documents
    share lies behind the cut.
-3. Pairs come from lists without writing all pairs of a large one: a few members are compared with all others
-   (pivots), links merge components, and only members outside a list's largest component can still add a link.
-   Each round takes more pivots; a list is done when its members are one component or all others were pivots.
-   A pair in one component needs no comparison, any other pair in a list gets one, so no link is lost.
+3. Shingles that no other candidate has bound what a set can share (``core``).  An edited copy whose core is under
+   three quarters of it is like no other text and leaves the lists, and a pair is looked at only if 3/7 of both
+   sizes fit into both cores.
+   Pairs come from the lists in three steps, so that no group of copies is written out as pairs: (a) all pairs of
+   small lists, and in large ones each member with the list's centre, the member with the fewest shingles of its own;
+   links make components; (b) the members outside a list's largest component with that component; (c) with each
+   other.  Pairs within a component need no comparison, so no link is lost.
 4. The union of two sketches estimates the similarity and drops pairs far below the threshold.
 5. The full sets of the pairs that are left are compared exactly.
 6. Components by large-star and small-star steps over the links.
 
-The estimate and the prefix are loose: two sets of similarity 0.75 share fewer than ``FEWEST`` of 64 values with a
-probability near 1e-11, and for sets of 48 shingles and less never.
+The estimate and the prefix are loose: two sets of similarity 0.75 share fewer than ``FEWEST`` of ``K`` values with a
+probability near 1e-10, and for sets of 48 shingles and less never; a pair that is missed costs a link only if no
+third text joins the two.
 """
 
 from __future__ import annotations
@@ -34,9 +38,11 @@ from reviewmill.session import materialise
 
 WIDTH = 5
 K = 64
-FEWEST = 24
-# Lists of this many members outside the largest component compare all of them in the first round.
-SMALL_LIST = 8
+FEWEST = 26
+# Lists with so many members outside their largest component compare all of them at once.
+SMALL_LIST = 16
+# Sizes are compared in steps of five percent.
+SIZE_STEP = 1.05
 # Members of a list that one task joins with the list's pivots.
 SALT_ROWS = 2048
 MULTIPLIERS = np.array(
@@ -103,9 +109,13 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def shared_at_least(n: Column) -> Column:
-    """Retained values that a set of n shingles shares with any set like it.  Up to 48 shingles both sketches
+    """Retained values that a set of n shingles shares with any set like it.  Up to 3/4 K shingles both sketches
     are whole sets, and three quarters of the larger one are shared; beyond, FEWEST."""
-    return F.when(n <= 48, F.ceil(n * 3 / 4)).otherwise(FEWEST)
+    return F.when(n <= K * 3 // 4, F.ceil(n * 3 / 4)).otherwise(FEWEST)
+
+
+def size_step(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(SIZE_STEP))).cast("int")
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -114,13 +124,36 @@ def postings(classes: DataFrame) -> DataFrame:
     lists = values.groupBy("value").agg(F.count("*").alias("members")).filter("members > 1")
     found = values.join(lists, "value")
     # A sketch's entries with lists, rarest first; values without a list come before them.
-    per_node = found.groupBy("node", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("members", "value"))).alias("entries"))
-    size = F.least(F.col("n_shingles"), F.lit(K))
-    alone = size - F.size("entries")
-    places = size - shared_at_least(F.col("n_shingles")) + 1 - alone
-    return per_node.filter(places > 0).select(
-        "node", F.col("n_shingles").alias("n"), F.explode(F.slice("entries", F.lit(1), places.cast("int"))).alias("entry")
-    ).select(F.col("entry.value").alias("value"), "node", "n")
+    per_node = found.groupBy("node", F.col("n_shingles").alias("n")).agg(
+        F.sort_array(F.collect_list(F.struct("members", "value"))).alias("entries")
+    )
+    size = F.least(F.col("n"), F.lit(K))
+    places = F.size("entries") - shared_at_least(F.col("n")) + 1
+    return (
+        per_node.filter(places > 0)
+        .select("node", "n", F.explode(F.slice("entries", F.lit(1), places.cast("int"))).alias("entry"))
+        .select(F.col("entry.value").alias("value"), "node", "n")
+    )
+
+
+def alone(texts: DataFrame) -> DataFrame:
+    """node, alone: shingles that no other candidate has.  0 (no row) for an id with several texts."""
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in sliced(batches, 100):
+            sets = [shingles.of(text) for text in raw_texts(batch.column("text"))]
+            owners = np.repeat(np.arange(len(sets)), [len(each) for each in sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(owners)), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))],
+                names=["node", "shingle"],
+            )
+
+    once = texts.mapInArrow(exploded, "node bigint, shingle bigint").groupBy("shingle").agg(
+        F.count("*").alias("uses"), F.min("node").alias("node")
+    )
+    repeated = texts.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("node"))
+    return once.filter("uses = 1").groupBy("node").agg(F.count("*").alias("alone")).join(repeated, "node", "left_anti")
 
 
 def open_lists(members: DataFrame) -> DataFrame:
@@ -140,44 +173,52 @@ def open_lists(members: DataFrame) -> DataFrame:
     )
 
 
-def chosen_pivots(live: DataFrame, round_: int) -> DataFrame:
-    """value, node, n, comp: members outside the largest component to compare with all members.  All of them in
-    a list with few; else the one with the smallest hash in each slice.  No list is gathered or sorted."""
-    outside = live.filter(F.col("top").isNull() | (F.col("comp") != F.col("top")))
-    few = F.col("others") <= SMALL_LIST * 4**round_
-    order = F.xxhash64("node")
-    slices = F.pmod(order, F.lit(4**round_))
-    least = (
-        outside.filter(~few)
-        .groupBy("value", slices.alias("slice"))
-        .agg(F.min(F.struct(order.alias("order"), "node", "n", "comp", "all_members")).alias("pivot"))
-        .select("value", "pivot.node", "pivot.n", "pivot.comp", "pivot.all_members")
-    )
-    return outside.filter(few).select("value", "node", "n", "comp", "all_members").unionByName(least)
+MEMBER = ["value", "node", "n", "core"]
 
 
-def alike_in_size(n: Column, m: Column) -> Column:
-    return (4 * n >= 3 * m) & (4 * m >= 3 * n)
+def outside(live: DataFrame) -> DataFrame:
+    """Members outside the largest component of their list; all if it has no component."""
+    return live.filter(F.col("top").isNull() | (F.col("comp") != F.col("top")))
 
 
-def pivot_pairs(live: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of a pivot and a member of its list in another component, of fitting sizes.
-    A large list is dealt out by a salt, as many as its size asks for; only its few pivots are repeated."""
+def centres(live: DataFrame) -> DataFrame:
+    """The member of each large list with the smallest share of shingles of its own.  No list is gathered or sorted."""
+    order = F.struct((1 - F.col("core") / F.col("n")).alias("own"), F.xxhash64("node").alias("hashed"), "node", "n", "core", "comp", "all_members")
+    best = live.filter(F.col("others") > SMALL_LIST).groupBy("value").agg(F.min(order).alias("best"))
+    return best.select("value", *[f"best.{name}" for name in ("node", "n", "core", "comp", "all_members")])
+
+
+def fitting_pairs(members: DataFrame, pivots: DataFrame, key: str) -> DataFrame:
+    """Distinct pairs a < b of a pivot and a member with the same ``key``, in different components, whose sizes and
+    cores allow similarity 0.75, that is 3/7 of both sizes shared.  A pivot meets only the steps of sizes that its own
+    size and core leave.  Members of a large key are dealt out by a salt, as many as its size (``all_members``, with
+    both sides) asks for, and only the pivots are repeated."""
     salts = F.ceil(F.col("all_members") / SALT_ROWS).cast("int")
-    left = live.select("value", "node", "n", "comp", F.pmod(F.xxhash64("node", F.lit(1)), salts).cast("int").alias("salt"))
-    right = pivots.select(
-        "value", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("comp").alias("other"),
-        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+    left = members.select(
+        key, size_step(F.col("n")).alias("step"), F.pmod(F.xxhash64("node", F.lit(1)), salts).cast("int").alias("salt"),
+        "node", "n", "core", "comp",
     )
-    met = left.join(right, ["value", "salt"]).filter((F.col("comp") != F.col("other")) & alike_in_size(F.col("n"), F.col("m")))
+    largest = F.least(F.col("n") * 4 / 3, F.col("core") * 7 / 3 - F.col("n")) + 0.5
+    smallest = F.col("n") * 3 / 4 - 0.5
+    right = (
+        pivots.filter(largest >= smallest)
+        .select("*", F.explode(F.sequence(size_step(F.greatest(smallest, F.lit(1.0))), size_step(largest))).alias("step"))
+        .select(
+            key, "step", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("pivot"),
+            F.col("n").alias("m"), F.col("core").alias("most"), F.col("comp").alias("other"),
+        )
+    )
+    fits = 7 * F.least("core", "most") >= 3 * (F.col("n") + F.col("m"))
+    met = left.join(right, [key, "step", "salt"]).filter((F.col("comp") != F.col("other")) & fits)
     return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def passes_estimate(a: Column, b: Column) -> Column:
-    """Union sketch: of the K smallest values of both, the share that both have."""
+    """Union sketch: of the K smallest values of both, the share that both have.  Exact if both sets are whole."""
     union = F.slice(F.sort_array(F.array_union(a, b)), 1, K)
     both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
-    return both * K >= F.size(union) * FEWEST
+    whole = (F.size(a) < K) & (F.size(b) < K) & (F.size(F.array_union(a, b)) <= K)
+    return F.when(whole, 100 * both >= 75 * F.size(union)).otherwise(both * K >= F.size(union) * FEWEST)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -236,23 +277,39 @@ def components(links: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """node, comp for the classes that are linked with another."""
-    spark = docs.sparkSession
     lists = materialise(postings(classes))
     entered = lists.select(F.col("node").alias("doc_id")).distinct()
     texts = materialise(docs.select("doc_id", "text").join(entered, "doc_id", "left_semi"))
-    comps = spark.createDataFrame([], "node bigint, comp bigint")
-    round_ = 0
-    while True:
-        members = lists.join(comps, "node", "left").select("value", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        live = materialise(members.join(open_lists(members), "value"))
-        if live.isEmpty():
+    core = F.col("n") - F.coalesce("alone", F.lit(0))
+    lists = materialise(lists.join(alone(texts), "node", "left").withColumn("core", core).filter(4 * core >= 3 * F.col("n")).select(*MEMBER))
+    links = docs.sparkSession.createDataFrame([], "u bigint, v bigint")
+    comps = links.toDF("node", "comp")
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        nonlocal links
+        new = materialise(confirmed(estimated(materialise(pairs), classes), texts).toDF("u", "v"))
+        if new.isEmpty():
             return comps
-        pivots = materialise(chosen_pivots(live, round_))
-        links = materialise(confirmed(estimated(pivot_pairs(live, pivots), classes), texts))
-        if not links.isEmpty():
-            comps = components(links.toDF("u", "v").unionByName(comps.toDF("u", "v")))
-        lists = live.join(pivots.select("value", "node"), ["value", "node"], "left_anti").select("value", "node", "n")
-        round_ += 1
+        links = new.unionByName(comps.toDF("u", "v"))
+        return components(links)
+
+    def current() -> DataFrame:
+        members = lists.join(comps, "node", "left").select(*MEMBER, F.coalesce("comp", "node").alias("comp"))
+        return materialise(members.join(open_lists(members), "value"))
+
+    live = current()
+    small = live.filter(F.col("others") <= SMALL_LIST)
+    comps = joined(fitting_pairs(live, small.select(*centres(live).columns).unionByName(centres(live)), "value"))
+
+    live = current().filter(F.col("all_members") > SMALL_LIST)
+    apart = materialise(outside(live))
+    against = apart.filter("top is not null").select("node", "n", "core", "comp", "top").distinct()
+    sizes = comps.groupBy("comp").agg(F.count("*").alias("all_members")).withColumnRenamed("comp", "top")
+    within = lists.select("node", "n", "core").distinct().join(comps, "node").withColumn("top", F.col("comp")).join(sizes, "top")
+    comps = joined(fitting_pairs(within, against.join(sizes, "top"), "top"))
+
+    again = apart.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return joined(fitting_pairs(again, again, "value"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
