@@ -16,5 +16,12 @@ def to_number(column: Column) -> Column:
 
 
 def to_flag(column: Column) -> Column:
-    """0/1 flag: parsed as a number, null or unreadable becomes 0, fraction cut off."""
-    return F.coalesce(to_number(column), F.lit(0.0)).cast("int")
+    """0/1 flag: parsed as a number, null, unreadable or out of range becomes 0, fraction cut off."""
+    return F.coalesce(to_number(column).try_cast("int"), F.lit(0))
+
+
+def whole_number_text(column: Column) -> Column:
+    """A value that reads as a whole number in its shortest form ("5.00" becomes "5"); others as they are."""
+    number = to_number(column)
+    whole = F.when(number == F.floor(number), number.try_cast("long").cast("string"))
+    return F.coalesce(whole, column.cast("string"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.ml.classification import (
+    LogisticRegressionModel,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -34,8 +36,10 @@ from reviewmill.operators.features import (
 )
 from reviewmill.operators.guards import FEW_CLASSES, sentiment_not_run
 from reviewmill.operators.labeling import SentimentInfo
+from reviewmill.operators.labeling import feature_columns
 from reviewmill.operators.metrics import sentiment_metrics
-from reviewmill.session import for_many_passes, in_parallel, materialise
+from reviewmill.operators.sampling import balanced_sample
+from reviewmill.session import in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -67,6 +71,10 @@ def balanced_weights(train: DataFrame, label: str) -> tuple[dict[str, float], in
     return {r[label]: r["class_weight"] for r in rows}, sum(r["rows"] for r in rows)
 
 
+#: Of a dense-vector classifier; its labels come to the driver.
+MOST_CLASSES = 1000
+
+
 def prepare(
     train: DataFrame,
     test: DataFrame,
@@ -76,7 +84,8 @@ def prepare(
 ) -> TrainingSet:
     """Fit the features on ``train`` once and write both vector tables once; every estimator below
     reads them."""
-    vectorizer = Vectorizer.fit(train, features)
+    # Only the text reaches the features, never the rating that a label may come from.
+    vectorizer = Vectorizer.fit(train.select(*feature_columns(train)), features)
     weights, rows = balanced_weights(train, label)
     classes = list(weights)
     train_vectors = vectorizer.transform(with_class_weight(train, weights, label))
@@ -85,15 +94,16 @@ def prepare(
     return TrainingSet(materialise(train_vectors), materialise(test_vectors), classes, rows)
 
 
-def logistic(rows: int):
+def logistic(rows: int, iterations: int = settings.ITERATIONS):
     """The penalty is given per summed loss elsewhere; Spark averages the loss, hence 1/rows."""
     return LogisticRegression(
-        family="multinomial", weightCol="class_weight", standardization=False, regParam=1.0 / rows, maxIter=100, tol=1e-4
+        family="multinomial", weightCol="class_weight", standardization=False, regParam=1.0 / rows,
+        maxIter=iterations, tol=1e-4,
     )
 
 
-def linear_svm(rows: int):
-    binary = LinearSVC(weightCol="class_weight", standardization=False, regParam=1.0 / rows, maxIter=100, tol=1e-4)
+def linear_svm(rows: int, iterations: int = settings.ITERATIONS):
+    binary = LinearSVC(weightCol="class_weight", standardization=False, regParam=1.0 / rows, maxIter=iterations, tol=1e-4)
     return OneVsRest(classifier=binary, weightCol="class_weight", parallelism=3)
 
 
@@ -105,6 +115,9 @@ def random_forest(rows: int, trees: int = 40, depth: int = 30):
         featureSubsetStrategy="sqrt",
         weightCol="class_weight",
         seed=settings.SEED,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
+        checkpointInterval=10,
     )
 
 
@@ -116,11 +129,11 @@ ESTIMATORS: dict[str, Callable] = {
 
 
 def fit_predict(data: TrainingSet, estimator) -> DataFrame:
-    """Fit on the training vectors; test rows with ``predicted_label``."""
-    # Growing trees is heavy work per row, a gradient is not.
-    heavy = isinstance(estimator, RandomForestClassifier)
-    train = data.train if heavy else for_many_passes(data.train, data.rows)
-    model = estimator.setFeaturesCol("features").setLabelCol("label").fit(train)
+    """Fit on the training vectors; test rows with ``predicted_label``.  A fit that used all its iterations without
+    converging is reported as a warning."""
+    model = estimator.setFeaturesCol("features").setLabelCol("label").fit(data.train)
+    if isinstance(model, LogisticRegressionModel) and model.hasSummary and model.summary.totalIterations >= estimator.getMaxIter():
+        warnings.warn(f"stopped after {estimator.getMaxIter()} iterations without converging", stacklevel=2)
     scored = model.transform(data.test)
     return scored.withColumn("predicted_label", decode(F.col("prediction"), data.classes)).drop(
         "features", "rawPrediction", "probability", "prediction"
@@ -194,7 +207,7 @@ def train_sentiment_baselines(
 
 def train_on_vectors(
     df: DataFrame,
-    caps: dict[str, int],
+    cap: int | None = None,
     vector: str = "embedding",
     label: str = "label",
     hidden: Sequence[int] = (32,),
@@ -203,13 +216,22 @@ def train_on_vectors(
 ) -> tuple[DataFrame, DataFrame]:
     """A small neural classifier on vectors that are already in the table.
 
-    ``df`` has a ``split`` column and at most ``caps[split]`` rows per class in each split; the
-    caller draws them with ``balanced_sample``.  Returns the result row and the test predictions.
+    ``df`` has a ``split`` column; all its test rows are scored.  ``cap`` bounds the training rows per class (None:
+    all), drawn with ``balanced_sample``.  Returns the result row and the test predictions.
     """
     started = time.perf_counter()
     usable = df.filter(F.col(vector).isNotNull() & F.col(label).isNotNull())
-    classes = [r[0] for r in usable.select(F.col(label).cast("string").alias("c")).distinct().orderBy("c").collect()]
-    width = usable.select(F.size(vector)).first()[0]
+    found = usable.select(F.col(label).cast("string").alias("c")).distinct().orderBy("c").limit(MOST_CLASSES + 1).collect()
+    classes = [r[0] for r in found]
+    if not 2 <= len(classes) <= MOST_CLASSES:
+        raise ValueError(f"{len(classes)} classes found; a classifier takes 2 to {MOST_CLASSES}")
+    widths = usable.agg(F.min(F.size(vector)).alias("least"), F.max(F.size(vector)).alias("most")).first()
+    if widths["least"] != widths["most"]:
+        raise ValueError(f"vectors have {widths['least']} to {widths['most']} numbers")
+    width = widths["most"]
+    if cap is not None:
+        drawn = balanced_sample(usable.filter("split = 'train'"), cap, label, "vec_id", (vector,))
+        usable = usable.filter("split != 'train'").unionByName(drawn)
     data = materialise(
         usable.withColumn("_class", F.col(label).cast("string"))
         .withColumn("features", array_to_vector(F.col(vector)))
@@ -233,6 +255,6 @@ def train_on_vectors(
     return (
         metrics.withColumn("epochs", F.lit(epochs))
         .withColumn("runtime_seconds", F.lit(time.perf_counter() - started))
-        .withColumn("notes", F.lit(f"caps per class: {caps}")),
+        .withColumn("notes", F.lit(f"training rows per class: {cap or 'all'}")),
         predictions,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill import settings
@@ -49,10 +49,16 @@ def label_set_errors(predictions: DataFrame) -> DataFrame:
 
 
 def first_cases(errors: DataFrame, limit: int, id_column: str = "review_id") -> DataFrame:
-    """The first ``limit`` errors of every model.  The rank is limited before the shuffle, so a
-    task sends at most ``limit`` rows per model."""
-    window = Window.partitionBy("model").orderBy(id_column)
-    return errors.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= limit).drop("_rank")
+    """The first ``limit`` errors of every model.  Ids alone are ranked, ``limit`` per model and task before the
+    shuffle; the texts of the winners are fetched afterwards."""
+    by_id = Window.partitionBy("model").orderBy(id_column)
+    ids = errors.select("model", id_column).withColumn("_rank", F.row_number().over(by_id)).filter(F.col("_rank") <= limit)
+    ids = ids.select("model", F.col(id_column).alias("_id")).distinct()
+    found = errors.withColumnRenamed("model", "_model").join(
+        ids, (F.col("_model") == F.col("model")) & F.col(id_column).eqNullSafe(F.col("_id"))
+    ).drop("_model", "_id")
+    # Repeated ids bring more rows than places.
+    return found.withColumn("_rank", F.row_number().over(by_id)).filter(F.col("_rank") <= limit).drop("_rank")
 
 
 def error_cases(
@@ -86,8 +92,5 @@ def error_cases(
         cases = part if cases is None else cases.unionByName(part)
     if cases is not None and not cases.isEmpty():
         return cases
-    spark = (sentiment if sentiment is not None else multilabel)
-    if spark is None:
-        raise ValueError("error_cases needs at least one prediction table")
     empty = ("not_available", "", None, "", "", "", "not_run", "No predictions were available for error analysis.")
-    return spark.sparkSession.createDataFrame([empty], ", ".join(f"{c} string" for c in CASE_COLUMNS))
+    return SparkSession.active().createDataFrame([empty], ", ".join(f"{c} string" for c in CASE_COLUMNS))

@@ -23,7 +23,7 @@ FROM_LABEL = SentimentInfo(
     True, "explicit_label", "Explicit sentiment labels were mapped to three classes."
 )
 FROM_RATING = SentimentInfo(
-    True, "rating", "Ratings were mapped to three sentiment classes by AGENTS.md thresholds."
+    True, "rating", "Ratings were mapped to three sentiment classes by fixed thresholds."
 )
 
 

@@ -14,7 +14,8 @@ from reviewmill import settings
 from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer, multilabel_variant_features
 from reviewmill.operators.guards import CONSTANT_FLAGS, NO_FLAGS, multilabel_not_run
 from reviewmill.operators.metrics import multilabel_metrics, per_label_report
-from reviewmill.session import for_many_passes, in_parallel, materialise
+from reviewmill.operators.labeling import feature_columns
+from reviewmill.session import in_parallel, materialise
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def _fit_flag(vectors: DataFrame, flag: str, positives: int, rows: int):
     """Balanced binary logistic regression for one flag."""
     weight = F.when(F.col(f"`{flag}`") == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
     return LogisticRegression(
-        family="binomial", weightCol="_weight", standardization=False, regParam=1.0 / rows, maxIter=100, tol=1e-4
+        family="binomial", weightCol="_weight", standardization=False, regParam=1.0 / rows, maxIter=settings.ITERATIONS, tol=1e-4
     ).fit(vectors.select("features", F.col(f"`{flag}`").cast("double").alias("label"), weight.alias("_weight")))
 
 
@@ -79,10 +80,9 @@ def train_multilabel(
     name = settings.OVR_NAME if active else settings.MAJORITY_NAME
     test = test.select(id_column, "clean_text", *[f"`true_{f}`" for f in available])
     if active:
-        vectorizer = Vectorizer.fit(train, features)
+        vectorizer = Vectorizer.fit(train.select(*feature_columns(train)), features)
         vectors = materialise(vectorizer.transform(train).select("features", *[f"`{f}`" for f in active]))
         scored = materialise(vectorizer.transform(test))
-        vectors = for_many_passes(vectors, rows)
         fits = in_parallel([partial(_fit_flag, vectors, flag, totals[flag], rows) for flag in active])
         for flag, model in zip(active, fits):
             scored = model.transform(scored).withColumn(f"pred_{flag}", F.col("prediction").cast("int"))

@@ -7,7 +7,9 @@ n-th smallest hash of its stratum, and that one value is found in two narrow pas
 falls in (1/65,536 of the data).  The wide table is then filtered against the border, row by row,
 without a shuffle.
 
-Ids must be unique; equal ids stay together.
+Rows with equal or null ids are told apart by their place in the source (``source_file``, ``source_row_id``,
+``row_key``, where the table has them) or else by a hash of their other columns, so samples have the
+exact size; only rows that agree in everything stay together.
 """
 
 from __future__ import annotations
@@ -22,8 +24,20 @@ from reviewmill import settings
 PREFIX = 4  # hex digits, 65,536 buckets
 
 
+PLACES = ("source_file", "source_row_id", "row_key")
+
+
 def hash_key(id_column: str, seed: int = settings.SEED) -> Column:
-    return F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
+    return F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(f":{seed}")))
+
+
+def row_key(df: DataFrame, id_column: str, seed: int = settings.SEED) -> Column:
+    """:func:`hash_key` with a tie-break behind it."""
+    others = [c for c in df.columns if c != id_column]
+    ties = [c for c in PLACES if c in others] or others
+    if not ties:
+        return hash_key(id_column, seed)
+    return F.concat(hash_key(id_column, seed), F.hex(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in ties])))
 
 
 def borders(narrow: DataFrame, targets: DataFrame, strata: Sequence[str]) -> DataFrame:
@@ -45,25 +59,30 @@ def borders(narrow: DataFrame, targets: DataFrame, strata: Sequence[str]) -> Dat
     ).select(*strata, "_prefix", "cut", (F.col("wanted") - F.col("_upto") + F.col("_rows")).alias("_nth"))
     nth = Window.partitionBy(*strata, "cut").orderBy("_key")
     return (
-        keyed.join(F.broadcast(border_prefix), [*strata, "_prefix"])
+        keyed.join(border_prefix, [*strata, "_prefix"])
         .withColumn("_rank", F.row_number().over(nth))
         .filter(F.col("_rank") == F.col("_nth"))
         .select(*strata, "cut", F.col("_key").alias("border"))
     )
 
 
-def border(narrow: DataFrame, wanted: Column) -> Column:
-    """The ``wanted``-th smallest ``_key`` of the whole table, as a value inside a lazy plan.  The
-    running count covers at most 65,536 prefixes."""
+def border(narrow: DataFrame, n: int) -> Column:
+    """The ``n``-th smallest ``_key`` of the whole table (the largest if there are fewer), as a value inside a lazy
+    plan.  The running count covers at most 65,536 prefixes and gives the number of rows as well."""
     keyed = narrow.select("_key", F.substring("_key", 1, PREFIX).alias("_prefix"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    prefixes = keyed.groupBy("_prefix").agg(F.count("*").alias("_rows")).withColumn("_upto", F.sum("_rows").over(upto))
-    border_prefix = prefixes.filter((F.col("_upto") >= wanted) & (F.col("_upto") - F.col("_rows") < wanted)).select(
-        "_prefix", (wanted - F.col("_upto") + F.col("_rows")).alias("_nth")
+    everything = Window.partitionBy(F.lit(0))
+    upto = everything.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    prefixes = (
+        keyed.groupBy("_prefix")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_upto", F.sum("_rows").over(upto))
+        .withColumn("_wanted", F.least(F.sum("_rows").over(everything), F.lit(n)))
     )
+    in_it = (F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_rows") < F.col("_wanted"))
+    border_prefix = prefixes.filter(in_it).select("_prefix", (F.col("_wanted") - F.col("_upto") + F.col("_rows")).alias("_nth"))
     nth = Window.partitionBy("_prefix").orderBy("_key")
     return (
-        keyed.join(F.broadcast(border_prefix), "_prefix")
+        keyed.join(border_prefix, "_prefix")
         .withColumn("_rank", F.row_number().over(nth))
         .filter(F.col("_rank") == F.col("_nth"))
         .select("_key")
@@ -71,16 +90,10 @@ def border(narrow: DataFrame, wanted: Column) -> Column:
     )
 
 
-def _check_strata(count: int) -> None:
-    if count > settings.MAX_BROADCAST_ROWS:
-        raise ValueError(f"{count} strata; splitting by a column needs at most {settings.MAX_BROADCAST_ROWS}")
-
-
 def sample_rows(df: DataFrame, n: int, id_column: str = "review_id", seed: int = settings.SEED) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the ones with the smallest hashes."""
-    narrow = df.select(hash_key(id_column, seed).alias("_key"))
-    wanted = narrow.select(F.least(F.count("*"), F.lit(n))).scalar()
-    return df.filter(hash_key(id_column, seed) <= border(narrow, wanted))
+    key = row_key(df, id_column, seed)
+    return df.filter(key <= border(df.select(key.alias("_key")), n))
 
 
 def sample_for_mode(df: DataFrame, mode: str, id_column: str = "review_id") -> DataFrame:
@@ -97,15 +110,12 @@ def balanced_sample(
 ) -> DataFrame:
     """At most ``per_class`` rows of every label; rows without text or label do not count."""
     usable = df.dropna(subset=[*required, label])
-    narrow = usable.select(label, hash_key(id_column, seed).alias("_key"))
+    key = row_key(df, id_column, seed)
+    keyed = usable.withColumn("_own", key)
+    narrow = keyed.select(label, F.col("_own").alias("_key"))
     sizes = narrow.groupBy(label).agg(F.least(F.count("*"), F.lit(per_class)).alias("wanted"))
-    _check_strata(sizes.count())
     limits = borders(narrow, sizes.withColumn("cut", F.lit("in")), [label]).select(label, "border")
-    return (
-        usable.join(F.broadcast(limits), label)
-        .filter(hash_key(id_column, seed) <= F.col("border"))
-        .select(*df.columns)
-    )
+    return keyed.join(limits, label).filter(F.col("_own") <= F.col("border")).select(*df.columns)
 
 
 def stratify_check(df: DataFrame, column: str) -> DataFrame:
@@ -172,35 +182,38 @@ def split_rows(
     val_share: float = settings.VAL_SHARE,
     seed: int = settings.SEED,
 ) -> DataFrame:
-    """Add ``split`` (train, val, test).  Falls back to an unstratified split when a class is too
-    small.  ``df`` is scanned three times, twice for (id, label) only: pass a stored table."""
-    if stratify is not None:
-        check = stratify_check(df, stratify).first()
-        _check_strata(check["classes"])
-        if not check["usable"]:
-            stratify = None
+    """Add ``split`` (train, val, test).  Falls back to an unstratified split when a class is too small, and to an
+    unstratified cut between train and val when the test rows leave a class too small for that.  ``df`` is scanned
+    three times, twice for (label, key) only: pass a stored table.  Any number of strata: their borders are a
+    table that the planner joins as it sees fit."""
+    if stratify is not None and not stratify_check(df, stratify).first()["usable"]:
+        stratify = None
     # A null label is a class of its own; the prefix keeps it apart from any real value.
     stratum = F.lit("all")
     if stratify is not None:
         stratum = F.coalesce(F.concat(F.lit("="), F.col(stratify).cast("string")), F.lit("none"))
-    narrow = df.select(stratum.alias("_class"), hash_key(id_column, seed).alias("_key"))
+    keyed = df.withColumn("_own", row_key(df, id_column, seed)).withColumn("_class", stratum)
+    narrow = keyed.select("_class", F.col("_own").alias("_key"))
     plan = split_plan(narrow.groupBy("_class").agg(F.count("*").alias("rows")), test_share, val_share)
-    cuts = F.expr("stack(2, 'test', test, 'val', test + val) as (cut, wanted)")
+    left = plan.agg(
+        F.count("*").alias("classes"), F.min(F.col("rows") - F.col("test")).alias("smallest"), F.sum("val").alias("val")
+    ).first()  # one row
+    by_class = left["classes"] < 2 or (left["smallest"] or 0) >= 2
+    cuts = "stack(2, 'test', test, 'val', test + val)" if by_class else "stack(1, 'test', test)"
     limits = (
-        borders(narrow, plan.select("_class", cuts).filter("wanted > 0"), ["_class"])
+        borders(narrow, plan.select("_class", F.expr(f"{cuts} as (cut, wanted)")).filter("wanted > 0"), ["_class"])
         .groupBy("_class")
         .pivot("cut", ["test", "val"])
         .agg(F.first("border"))
         .withColumnsRenamed({"test": "_test", "val": "_val"})
     )
-    key = hash_key(id_column, seed)
-    split = F.when(key <= F.col("_test"), "test").when(key <= F.col("_val"), "val").otherwise("train")
-    return (
-        df.withColumn("_class", stratum)
-        .join(F.broadcast(limits), "_class", "left")
-        .withColumn("split", split)
-        .select(*df.columns, "split")
-    )
+    placed = keyed.join(limits, "_class", "left")
+    in_test = F.coalesce(F.col("_own") <= F.col("_test"), F.lit(False))
+    in_val = F.col("_own") <= F.col("_val")
+    if not by_class and left["val"]:
+        in_val = F.col("_own") <= border(placed.filter(~in_test).select(F.col("_own").alias("_key")), left["val"])
+    split = F.when(in_test, "test").when(in_val, "val").otherwise("train")
+    return placed.withColumn("split", split).select(*df.columns, "split")
 
 
 def split_sizes(split: DataFrame, label: str) -> DataFrame:
@@ -225,6 +238,6 @@ def course_holdout(
     if count < min_courses:
         return None
     wanted = max(1, round(count * share))  # Python rounds half to even, as wanted here
-    limit = border(courses.select(hash_key(course, seed).alias("_key")), F.lit(wanted))
-    held_out = F.coalesce(hash_key(course, seed) <= limit, F.lit(False))
+    limit = border(courses.select(hash_key(course, seed).alias("_key")), wanted)
+    held_out = F.col(course).isNotNull() & (hash_key(course, seed) <= limit)
     return df.withColumn("split", F.when(held_out, "test").otherwise("train"))

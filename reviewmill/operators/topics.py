@@ -20,9 +20,12 @@ from reviewmill.session import materialise
 
 
 def topic_count(documents: int, max_topics: int, vocabulary_size: int) -> int:
-    """One topic per 50 documents between 2 and ``max_topics``, never more than there are terms."""
-    wanted = max(2, min(max_topics, documents // 50 if documents >= 100 else 2))
-    return wanted if vocabulary_size >= wanted else max(1, vocabulary_size)
+    """Two topics below 100 documents, from there one per 50, up to ``max_topics``; one per term at most."""
+    if documents < 100:
+        by_size = 2
+    else:
+        by_size = sorted((2, documents // 50, max(2, max_topics)))[1]
+    return min(by_size, max(1, vocabulary_size))
 
 
 @dataclass(frozen=True)
@@ -42,7 +45,8 @@ def fit_topics(
 ) -> Topics | None:
     """LDA over unigram counts; None below the minimum number of documents.
 
-    ``share_per_iteration`` below 1 makes every iteration read only that part of a large corpus.
+    The online optimiser draws the reviews of an iteration with replacement: at ``share_per_iteration`` 1 each reads
+    about 63% of them, other ones every time.  ``learningOffset`` is 1, so the first iterations count fully.
     """
     documents = df.count()
     if documents < settings.MIN_TOPIC_DOCUMENTS:
@@ -60,6 +64,7 @@ def fit_topics(
             maxIter=iterations,
             seed=seed,
             optimizer="online",
+            learningOffset=1.0,
             subsamplingRate=share_per_iteration,
             featuresCol="features",
         ).fit(counted)
@@ -109,19 +114,11 @@ def topic_diversity(keywords: DataFrame) -> DataFrame:
 
 
 def representatives(documents: DataFrame, id_column: str = "review_id") -> DataFrame:
-    """(topic_id, representative): text of the review with the highest topic weight (ties: lowest
-    id).  The ranking moves ids and weights only; texts are fetched for the winners."""
-    window = Window.partitionBy("topic_id").orderBy(F.col("topic_weight").desc(), id_column)
-    winners = (
-        documents.select("topic_id", "topic_weight", id_column)
-        .withColumn("_rank", F.row_number().over(window))
-        .filter("_rank = 1")
-        .select("topic_id", id_column)
-    )  # one row per topic
-    return documents.select(id_column, "clean_text").join(F.broadcast(winners), id_column).select(
-        "topic_id",
-        F.substring("clean_text", 1, settings.REPRESENTATIVE_CHARS).alias("representative"),
-    )
+    """(topic_id, representative): text of the review with the highest topic weight (ties: lowest id, then lowest
+    text), one row per topic.  One aggregate: each task sends the start of one text per topic."""
+    start = F.substring("clean_text", 1, settings.REPRESENTATIVE_CHARS)
+    best = F.min(F.struct((-F.col("topic_weight")).alias("w"), F.col(id_column).alias("id"), start.alias("text")))
+    return documents.groupBy("topic_id").agg(best.alias("best")).select("topic_id", F.col("best.text").alias("representative"))
 
 
 def topic_sentiment(documents: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def with_topic_shares(data: TrainingSet, train: DataFrame, test: DataFrame) -> T
     train_counts = materialise(counts.transform(train.select("review_id", "clean_text")))
     k = topic_count(train_counts.count(), settings.TOPIC_COUNT["quick"], len(counts.terms))
     model = LDA(
-        k=max(k, 2), maxIter=settings.TOPIC_ITERATIONS, seed=settings.SEED, optimizer="online",
+        k=max(k, 2), maxIter=settings.TOPIC_ITERATIONS, seed=settings.SEED, optimizer="online", learningOffset=1.0,
         subsamplingRate=1.0, featuresCol="topic_counts",
     ).fit(train_counts)
     join = VectorAssembler(inputCols=["features", "topicDistribution"], outputCol="_both")
@@ -73,15 +73,18 @@ def run_experiment(
     ngrams: tuple[int, int] = (1, 2),
     holdout: bool = False,
     topic_shares: bool = False,
+    fit_rows: int | None = None,
 ) -> tuple:
     """One result row.  ``df`` should be a stored table: it is read for the split, the features and
-    the scoring."""
+    the scoring.  ``fit_rows`` bounds the training rows after the split (None: all); every test row is scored."""
     data = df.dropna(subset=["clean_text", label])
     size = data.agg(F.count("*").alias("rows"), F.count_distinct(label).alias("classes")).first()
     if size["classes"] < 2 or size["rows"] < settings.ABLATION_MIN_ROWS:
         return not_run(experiment, f"Insufficient rows/classes for {label}.")
     split = materialise(split_for(data, label, holdout))
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    if fit_rows is not None:
+        train = materialise(sample_rows(train, fit_rows))
     train_rows, test_rows = train.count(), test.count()
     prepared = prepare(train, test, label, ablation_features(train_rows, ngrams), ["review_id"])
     if topic_shares:
@@ -95,24 +98,24 @@ def run_experiment(
 
 
 def run_main_ablation(
-    main: DataFrame, weak: DataFrame | None, mode: str, topic_features: bool = False
+    main: DataFrame, weak: DataFrame | None, fit_rows: int | None = None, topic_features: bool = False
 ) -> DataFrame:
-    """All experiments as one table.  With ``topic_features`` the topic experiment is run, with topics
-    fitted on training rows; by default it is reported as not run."""
+    """All experiments as one table, over all rows of ``main`` and ``weak`` (stored tables).  ``fit_rows`` bounds the
+    rows a model is trained on.  With ``topic_features`` the topic experiment is run, with topics fitted on training
+    rows; by default it is reported as not run."""
     spark = main.sparkSession
-    sampled = materialise(sample_rows(main, settings.ABLATION_ROWS[mode]))
+    one = partial(run_experiment, fit_rows=fit_rows)
     runs = {
-        "three": partial(run_experiment, sampled, "sentiment_label", "3class_random_split_unigram_bigram"),
-        "five": partial(run_experiment, sampled, "label_5class", "5class_random_split_unigram_bigram"),
-        "unigram": partial(run_experiment, sampled, "sentiment_label", "3class_random_split_unigram", (1, 1)),
-        "holdout": partial(run_experiment, sampled, "sentiment_label", "3class_course_holdout_split", holdout=True),
+        "three": partial(one, main, "sentiment_label", "3class_random_split_unigram_bigram"),
+        "five": partial(one, main, "label_5class", "5class_random_split_unigram_bigram"),
+        "unigram": partial(one, main, "sentiment_label", "3class_random_split_unigram", (1, 1)),
+        "holdout": partial(one, main, "sentiment_label", "3class_course_holdout_split", holdout=True),
     }
     if topic_features:
-        runs["topics"] = partial(run_experiment, sampled, "sentiment_label", "with_topic_features", topic_shares=True)
+        runs["topics"] = partial(one, main, "sentiment_label", "with_topic_features", topic_shares=True)
     has_weak = weak is not None and not weak.isEmpty()
     if has_weak:
-        sample = materialise(sample_rows(weak, settings.ABLATION_WEAK_ROWS[mode]))
-        runs["weak"] = partial(run_experiment, sample, "sentiment_label", "kaggle_145m_weak_label_sample")
+        runs["weak"] = partial(one, weak, "sentiment_label", "kaggle_145m_weak_label_sample")
     done = dict(zip(runs, in_parallel(list(runs.values()))))
 
     rows = [done["three"], done["five"], done["unigram"], done["holdout"]]
@@ -121,7 +124,7 @@ def run_main_ablation(
         # Same data and settings as the first experiment, so its numbers are reported, not refitted.
         rows.append(("kaggle_100k_only", *done["three"][1:]))
         row = done["weak"]
-        rows.append((*row[:-1], f"{row[-1]} Weak-label rows used: {sample.count()} of {weak.count()}."))
+        rows.append((*row[:-1], f"{row[-1]} Weak-label rows used: {row[-3] + row[-2]} of {weak.count()}."))
     else:
         rows.append(not_run("kaggle_145m_weak_label_sample", NO_WEAK_NOTE))
     return spark.createDataFrame(rows, ROW)

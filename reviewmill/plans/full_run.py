@@ -32,9 +32,10 @@ class Study:
     base: str
     output: str
     ids: DatasetIds
-    mode: str = "quick"
+    mode: str = "full"  # "quick" works on a sample and must be asked for
     models: tuple[str, ...] = tuple(settings.SENTIMENT_MODELS)
     file_format: str = "parquet"
+    fit_rows: int | None = None  # bound on the rows the ablation fits are trained on; none by default
 
     def write(self, df: DataFrame, name: str, *partition_by: str) -> None:
         write_table(df, f"{self.output.rstrip('/')}/{name}", partition_by, self.file_format)
@@ -62,9 +63,9 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
         raise ValueError("the main data set is not available")
     has_weak, has_aux = not weak_raw.isEmpty(), not aux_raw.isEmpty()
 
-    main = materialise(cleaning.preprocess(sampling.sample_for_mode(main_raw, study.mode)))
-    weak_sample = sampling.sample_rows(weak_raw, settings.WEAK_SAMPLE_ROWS[study.mode])
-    weak = materialise(cleaning.preprocess(weak_sample)) if has_weak else None
+    in_file = ["source_file", "source_row_id"]
+    main = materialise(cleaning.preprocess(sampling.sample_for_mode(main_raw, study.mode), in_file))
+    weak = materialise(cleaning.preprocess(weak_raw, in_file)) if has_weak else None
     # Files are numbered one by one, so the order over all auxiliary files is (file, row).
     aux = materialise(cleaning.preprocess(aux_raw, ["source_file", "review_id"])) if has_aux else None
     study.write(main, "cleaned_feedback")
@@ -114,7 +115,7 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
         results["topic_sentiment_pivot"] = topics.topic_sentiment_pivot(documents)
         results["teaching_improvement_matrix"] = topics.improvement_matrix(documents, found.keywords, found.count)
 
-    results["ablation_results"] = run_main_ablation(main, weak, study.mode)
+    results["ablation_results"] = run_main_ablation(main, weak, study.fit_rows)
 
     flag_predictions = None
     if aux is None:
@@ -134,8 +135,7 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
             results["multilabel_label_distribution"] = summaries.flag_distribution(aux, settings.FEEDBACK_FLAGS)
 
     results["model_comparison"] = metrics.model_comparison(scores, results["multilabel_results"])
-    if predictions is not None or flag_predictions is not None:
-        results["error_cases"] = errors.error_cases(predictions, flag_predictions)
+    results["error_cases"] = errors.error_cases(predictions, flag_predictions)
     for name, table in results.items():
         study.write(table, name)
     return results

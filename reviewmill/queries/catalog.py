@@ -64,7 +64,7 @@ def normalize_reviews(spark, sf_dir):
 def label_or_rating(spark, sf_dir):
     """Per course: would its label column be read as ratings?"""
     share = normalize.numeric_share(F.col("label_raw"))
-    by_course = t.labelled(spark, sf_dir).groupBy("course_id").agg(share.alias("share"))
+    by_course = t.reviews(spark, sf_dir).groupBy("course_id").agg(share.alias("share"))
     kind = F.when(F.col("share") > settings.NUMERIC_LABEL_SHARE, "rating").otherwise("explicit_label")
     return by_course.select("course_id", F.round("share", 6).alias("numeric_share"), kind.alias("read_as"))
 
@@ -107,17 +107,19 @@ def source_audit(spark, sf_dir):
 
 
 def _contact_texts(spark, sf_dir):
-    """Document texts, and one sentence per page that introduces its reader and names its address."""
+    """Document texts, whole pages, and one sentence per page that introduces its reader and names its address."""
     documents = t.reviews(spark, sf_dir).select(
         F.lit("documents").alias("source_dataset"), F.col("review_id").alias("row_id"), "review_text"
     )
     sentence = F.concat(
         F.lit("my name is Reader Nr"), F.col("page_id").cast("string"), F.lit(", i am  Reader Two. See "), F.col("url"), F.lit(".")
     )
-    pages = t.table(spark, sf_dir, "pages").select(
-        F.lit("pages").alias("source_dataset"), F.col("page_id").alias("row_id"), sentence.alias("review_text")
+    pages = t.dealt(t.table(spark, sf_dir, "pages"))
+    whole, introductions = (
+        pages.select(F.lit(name).alias("source_dataset"), F.col("page_id").alias("row_id"), text.alias("review_text"))
+        for name, text in (("pages", F.col("html")), ("page readers", sentence))
     )
-    return documents.unionByName(pages)
+    return documents.unionByName(whole).unionByName(introductions)
 
 
 @query
@@ -254,10 +256,12 @@ def doc_term_counts(spark, sf_dir):
 
 @query
 def tfidf_weights(spark, sf_dir):
-    texts = t.labelled(spark, sf_dir).select("review_id", F.col("review_text").alias("clean_text"))
+    texts = materialise(t.cleaned_texts(spark, sf_dir))
     documents = features.row_count(texts)
-    vocab = features.vocabulary(texts, features.SENTIMENT)
-    weights = features.tfidf_weights(features.document_terms(texts), features.idf_table(vocab, documents))
+    # Tokenised once: the vocabulary and the weights read the stored counts.
+    counts = materialise(features.document_terms(texts))
+    vocab = features.prune(features.term_statistics(counts), documents, features.SENTIMENT)
+    weights = features.tfidf_weights(counts, features.idf_table(vocab, documents))
     return rounded(weights.select("review_id", "term", "weight"), "weight")
 
 
@@ -279,6 +283,11 @@ def _experiment_split(spark, sf_dir, stratify="sentiment_label"):
     return materialise(sampling.split_rows(t.experiment(spark, sf_dir), stratify))
 
 
+def _flag_split(spark, sf_dir):
+    """Every review has flags, with or without a label; each text once."""
+    return materialise(sampling.split_rows(materialise(cleaning.preprocess(t.reviews(spark, sf_dir))), "f_not_english"))
+
+
 def _train_test(spark, sf_dir):
     split = _experiment_split(spark, sf_dir)
     return split.filter("split = 'train'"), split.filter("split = 'test'")
@@ -321,9 +330,34 @@ def run_guard(spark, sf_dir):
     return guards.run_guard(split, ["course_id", "lang"], text="review_text")
 
 
+def _facts(result, split, predictions, label):
+    """What is exact about a fit, for the comparison: rows per split, classes, and whether its macro F1 beats a
+    constant guess."""
+    sizes = split.filter(F.col(label).isNotNull()).agg(
+        F.count_if(F.col("split") == "train").alias("train_rows"),
+        F.count_if(F.col("split") == "test").alias("test_rows"),
+        F.count_distinct(label).alias("classes"),
+    )
+    found = predictions.groupBy("true_label").count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    most, scored, classes = found
+    constant = 2 * most / (most + scored) / classes  # macro F1 of always guessing the most frequent class
+    return sizes.select(
+        F.lit(result["model"]).alias("model"), F.lit(result["status"]).alias("status"), "train_rows", "test_rows", "classes",
+        F.lit(scored).cast("long").alias("scored_rows"), F.lit(result["macro_f1"] > constant).alias("beats_majority"),
+    )
+
+
+def _flag_facts(result, split, in_training):
+    """Rows, and per flag its positives among the scored rows; whether any flag was found."""
+    sizes = split.agg(F.count_if(F.col("split").isin(in_training)).alias("train_rows"), F.count_if(F.col("split") == "test").alias("test_rows"))
+    found = result.label_report.select("label", F.col("support").cast("long").alias("support"), F.lit(result.results.first()["micro_f1"] > 0).alias("any_found"))
+    return found.join(sizes)
+
+
 def _baseline(spark, sf_dir, model):
     train, test = _train_test(spark, sf_dir)
-    return classifiers.train_sentiment_baselines(train, test, labeling.FROM_LABEL, [model])[0]
+    scores, predictions = classifiers.train_sentiment_baselines(train, test, labeling.FROM_LABEL, [model])
+    return _facts(scores.first(), train.unionByName(test), predictions, "sentiment_label")
 
 
 @query
@@ -343,31 +377,29 @@ def train_random_forest(spark, sf_dir):
 
 @query
 def train_multilabel_ovr(spark, sf_dir):
-    split = _experiment_split(spark, sf_dir, "f_not_english")
+    split = _flag_split(spark, sf_dir)
     result = multilabel.train_multilabel(split.filter("split = 'train'"), split.filter("split = 'test'"), t.FLAGS)
-    return result.results
+    return _flag_facts(result, split, ["train"])
 
 
 @query
 def train_multilabel_variant(spark, sf_dir):
-    return multilabel.train_multilabel_variant(_experiment_split(spark, sf_dir, "f_not_english"), "full", t.FLAGS).results
+    split = _flag_split(spark, sf_dir)
+    return _flag_facts(multilabel.train_multilabel_variant(split, "full", t.FLAGS), split, ["train", "val"])
 
 
 @query
 def train_embedding_classifier(spark, sf_dir):
     split = materialise(sampling.split_rows(t.table(spark, sf_dir, "embeddings"), "label", "vec_id"))
-    caps = settings.BALANCED_CAPS["full"]
-    parts = [
-        sampling.balanced_sample(split.filter(F.col("split") == name), cap, "label", "vec_id", ("embedding",))
-        for name, cap in caps.items()
-    ]
-    return classifiers.train_on_vectors(normalize.union_reviews(parts), caps)[0].drop("runtime_seconds")
+    result, predictions = classifiers.train_on_vectors(split)
+    return _facts(result.first(), split, predictions, "label")
 
 
 @query
 def ablation_grid(spark, sf_dir):
     weak = materialise(cleaning.preprocess(weak_label_reviews(spark, sf_dir).withColumn("review_id", F.concat_ws("-", "conv_id", "turn"))))
-    return ablation.run_main_ablation(t.experiment(spark, sf_dir), weak, "full", topic_features=True)
+    grid = ablation.run_main_ablation(t.experiment(spark, sf_dir), weak, topic_features=True)
+    return grid.select("experiment", "status", "train_rows", "test_rows", F.col("macro_f1").between(0, 1).alias("scored"))
 
 
 # --- metrics ---------------------------------------------------------------------------------
@@ -479,8 +511,15 @@ def improvement_matrix(spark, sf_dir):
 
 @query
 def lda_topics(spark, sf_dir):
-    found = topics.fit_topics(t.experiment(spark, sf_dir))
-    return topics.topic_summary(found.documents, found.keywords, found.count)
+    """All reviews, labelled or not.  Compared: topics, reviews, keywords, and every review in one topic."""
+    texts = materialise(cleaning.preprocess(t.reviews(spark, sf_dir)))
+    found = topics.fit_topics(texts)
+    summary = topics.topic_summary(materialise(found.documents), found.keywords, found.count)
+    return summary.agg(
+        F.count("*").alias("topics"), F.sum("document_count").cast("long").alias("documents"),
+        F.sum(F.size(F.split("keywords", ", "))).cast("long").alias("keywords"),
+        F.bool_and((F.col("document_count") == 0) | (F.col("representative_comment") != "")).alias("all_represented"),
+    )
 
 
 # --- errors ----------------------------------------------------------------------------------

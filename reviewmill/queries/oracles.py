@@ -89,7 +89,8 @@ SOURCES = """sources as (
 
 CONTACT = """contact as (
   select 'documents' as source_dataset, review_id as row_id, review_text from reviews
-  union all select 'pages', page_id, 'my name is Reader Nr' || page_id || ', i am  Reader Two. See ' || url || '.'
+  union all select 'pages', page_id, html from pages
+  union all select 'page readers', page_id, 'my name is Reader Nr' || page_id || ', i am  Reader Two. See ' || url || '.'
   from pages)"""
 
 STOP = ", ".join(_quote(word) for word in ENGLISH)
@@ -306,7 +307,61 @@ def added(mark: str, column: str = "masked_text") -> str:
 _MARKS = {"url": "[URL]", "email": "[EMAIL]", "phone": "[PHONE]", "name": "[NAME]"}
 _CLASS_COUNTS = "cls as (select sentiment_label, count(*) as n from labelled group by 1)"
 
+def fit_facts(model: str, source: str, label: str) -> str:
+    return f"""{split(source, label)} select '{model}' as model, 'run' as status,
+  count(*) filter (where split = 'train') as train_rows, count(*) filter (where split = 'test') as test_rows,
+  count(distinct {label}) as classes, count(*) filter (where split = 'test') as scored_rows, true as beats_majority from split"""
+
+
+ONCE = f"""once as (
+  select * exclude (copy) from (
+    select *, row_number() over (partition by clean_text order by review_id) as copy
+    from (select *, {cleaned('review_text')} as clean_text from reviews) where clean_text <> '')
+  where copy = 1)"""
+
+
+def flag_facts(in_training: str) -> str:
+    parts = " union all ".join(
+        f"""select '{flag}' as label, cast(sum({flag}) filter (where split = 'test') as bigint) as support, true as any_found,
+  count(*) filter (where split in ({in_training})) as train_rows, count(*) filter (where split = 'test') as test_rows from split"""
+        for flag in FLAGS
+    )
+    return with_(REVIEWS, ONCE, split("once", "f_not_english")) + parts
+
+
+GRID = with_(
+    REVIEWS,
+    LABELLED,
+    EXPERIMENT,
+    f"""weak as (select count(distinct clean_text) as n from (
+  select {cleaned('text')} as clean_text from conversations where turn % 6 between 1 and 4) where clean_text <> '')""",
+    "main as (select count(*) as n from experiment)",
+    f"""courses as (select course_id, row_number() over (order by {md5_order('course_id')}) as rk, count(*) over () as n
+  from (select distinct course_id from experiment where course_id is not null))""",
+    """held as (select count(*) filter (where c.rk <= greatest(1, round_even(c.n * 0.2, 0))) as test, count(*) as n
+  from experiment e left join courses c on e.course_id = c.course_id)""",
+) + """select experiment, 'run' as status, cast(n - ceil(cast(0.2 as double) * n) as bigint) as train_rows,
+  cast(ceil(cast(0.2 as double) * n) as bigint) as test_rows, true as scored from main, (values
+    ('3class_random_split_unigram_bigram'), ('5class_random_split_unigram_bigram'), ('3class_random_split_unigram'),
+    ('with_topic_features'), ('kaggle_100k_only')) as t(experiment)
+union all select 'kaggle_145m_weak_label_sample', 'run', cast(n - ceil(cast(0.2 as double) * n) as bigint),
+  cast(ceil(cast(0.2 as double) * n) as bigint), true from weak
+union all select '3class_course_holdout_split', 'run', n - test, test, true from held"""
+
 ORACLES: dict[str, str] = {
+    "train_logreg": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Logistic Regression", "experiment", "sentiment_label")),
+    "train_linear_svm": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Linear SVM", "experiment", "sentiment_label")),
+    "train_random_forest": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Random Forest", "experiment", "sentiment_label")),
+    "train_embedding_classifier": with_(
+        "vectors as (select *, vec_id as review_id from embeddings)",
+        fit_facts("dense vectors + multilayer perceptron", "vectors", "label"),
+    ),
+    "train_multilabel_ovr": flag_facts("'train'"),
+    "train_multilabel_variant": flag_facts("'train', 'val'"),
+    "ablation_grid": GRID,
+    "lda_topics": with_(REVIEWS, ONCE, "n as (select count(*) as n from once)")
+    + """select case when n < 100 then 2 else least(8, greatest(2, n // 50)) end as topics, n as documents,
+  10 * case when n < 100 then 2 else least(8, greatest(2, n // 50)) end as keywords, true as all_represented from n""",
     "normalize_reviews": with_(REVIEWS)
     + """select review_text, 'documents' as source_dataset, 'given table' as source_platform,
   'documents.parquet' as source_file, review_id as source_row_id, case when rating <> 1.5 then rating end as rating,
@@ -314,7 +369,7 @@ ORACLES: dict[str, str] = {
     "label_or_rating": with_(*BASE)
     + """select course_id, round(avg(case when try_cast(label_raw as double) is not null then 1.0 else 0.0 end), 6) as numeric_share,
   case when avg(case when try_cast(label_raw as double) is not null then 1.0 else 0.0 end) > 0.9 then 'rating'
-    else 'explicit_label' end as read_as from labelled group by course_id""",
+    else 'explicit_label' end as read_as from reviews group by course_id""",
     "multilabel_coerce": with_(REVIEWS)
     + """select review_id, case when rating = 1.0 then 0 else f_quality end as f_quality,
   case when rating <> 2.0 then f_toxic else 0 end as f_toxic, f_long from reviews""",
@@ -425,12 +480,13 @@ from (select {c}, count(*) as n from reviews group by {c})"""
     )
     + "select review_id, term, tf from doc_terms where term in (select term from vocab)",
     "tfidf_weights": with_(
-        *BASE,
-        words("labelled", "review_id", text="review_text"),
+        REVIEWS,
+        CLEANED,
+        words("cleaned", "review_id"),
         doc_terms("review_id", (1, 2)),
         STATS,
-        vocab("labelled", settings.SENTIMENT_VOCABULARY, settings.MAX_DF),
-        weights("labelled"),
+        vocab("cleaned", 20000, 0.95),
+        weights("cleaned"),
     )
     + "select review_id, term, round(weight, 6) as weight from weights",
     "strip_accents_terms": with_(

@@ -15,7 +15,7 @@ from reviewmill import settings
 from reviewmill.functions.text import clean_text
 from reviewmill.operators.cleaning import preprocess
 from reviewmill.operators.labeling import add_labels
-from reviewmill.session import materialise, spread_small_input
+from reviewmill.session import materialise
 
 FLAGS = ["f_quality", "f_toxic", "f_not_english", "f_has_digit", "f_long"]
 MODELS = {"stub p": "p", "stub q": "q"}
@@ -26,8 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Parts that the given tables are dealt into before the text work; None leaves their own splits.  For a table in one
+# small file on a machine with several cores; a large table has splits enough.
+PARTS: int | None = None
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    return df.repartition(PARTS, *keys) if PARTS else df
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread_small_input(table(spark, sf_dir, "documents"), "doc_id")
+    documents = dealt(table(spark, sf_dir, "documents"), "doc_id")
     labels = table(spark, sf_dir, "labels")
     toxic, quality = F.col("toxic") == 1, F.col("quality")
     raw_label = (
@@ -131,7 +140,7 @@ def all_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.concat(F.lit("d"), F.col("review_id").cast("string")).alias("row_key"),
         "review_text", "course_id", "label_raw", "rating", *FLAGS[:2],
     )
-    conversations = spread_small_input(table(spark, sf_dir, "conversations")).select(
+    conversations = dealt(table(spark, sf_dir, "conversations")).select(
         F.lit("conversations").alias("source_dataset"),
         F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("row_key"),
         F.col("text").alias("review_text"),
@@ -149,7 +158,7 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source record per web page: what it states about itself, with gaps where it states nothing."""
     html = F.col("html")
     title = F.regexp_extract(html, "<title>([^<]*)</title>", 1)
-    return spread_small_input(table(spark, sf_dir, "pages")).select(
+    return dealt(table(spark, sf_dir, "pages")).select(
         F.col("page_id").cast("string").alias("dataset_id"),
         title.alias("name"),
         F.regexp_extract("url", "https?://([^/]+)/", 1).alias("source_platform"),

@@ -10,8 +10,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 1 << 30
-
 
 def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
     """A session for tests and the local benchmark; on a cluster use the one you are given."""
@@ -55,22 +53,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def for_many_passes(df: DataFrame, rows: int, rows_per_task: int = 1000) -> DataFrame:
-    """A stored table that an iterative fit reads once per pass: a few thousand rows do not deserve a
-    task per core and pass.  Large tables have fewer splits than this asks for and stay as they are."""
-    wanted = max(1, rows // rows_per_task)
-    return df.coalesce(wanted)
-
-
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """A small table often sits in one file that one task reads; deal its rows out so that the
-    regex work runs on every core.  Tables above 1 GiB have splits enough and are left as they are."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size) > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def in_parallel(calls: Sequence[Callable], at_once: int = 4) -> list:
     """Results of independent fits in order.  Their many short jobs share the cluster, so that one
     fit's driver work overlaps another's tasks; ``at_once`` bounds how many hold data in memory."""

@@ -9,13 +9,6 @@ from __future__ import annotations
 # --- fixed values: reproducibility and run modes -------------------------------------
 SEED = 42
 QUICK_SAMPLE_ROWS = 1500
-WEAK_SAMPLE_ROWS = {"quick": 5000, "full": 60000}
-ABLATION_ROWS = {"quick": 5000, "full": 80000}
-ABLATION_WEAK_ROWS = {"quick": 5000, "full": 60000}
-BALANCED_CAPS = {
-    "quick": {"train": 1200, "val": 300, "test": 600},
-    "full": {"train": 5000, "val": 1000, "test": 2000},
-}
 TEST_SHARE = 0.2
 VAL_SHARE = 0.1
 HOLDOUT_SHARE = 0.2
@@ -92,6 +85,7 @@ MULTILABEL_VARIANT_VOCABULARY = {"quick": 5000, "full": 20000}
 ABLATION_VOCABULARY = 12000
 TOPIC_VOCABULARY = 5000
 MIN_DF = 2
+ITERATIONS = 1000
 MAX_DF = 0.95
 TOPIC_MAX_DF = 0.9
 
@@ -142,7 +136,3 @@ OVR_NAME = "TF-IDF + One-vs-Rest Logistic Regression"
 MAJORITY_NAME = "TF-IDF + Majority Multi-label Baseline"
 COURSE_CHART_ROWS = 40
 
-# --- size bounds for data shipped to every task ------------------------------------------
-# Strata and label tables are only broadcast below this many rows; larger ones are joined
-# with a shuffle.
-MAX_BROADCAST_ROWS = 100_000

@@ -19,25 +19,16 @@ def separator(path: str) -> str:
 
 
 def read_delimited(spark: SparkSession, path: str, row_id: str = "source_row_id") -> DataFrame:
-    """One CSV or TSV file with a header and quoted multi-line text, every column a string, plus the
-    row number within the file.
+    """A CSV or TSV file, or a folder of them, with a header and quoted multi-line text; every column a string, plus
+    a row number: 0, 1, 2, ... in a single file, ascending and unique (not gapless) over a folder.
 
-    Such a file cannot be split, so one task reads it and numbers its rows; convert it once with
-    :func:`land` and let everything else read the copy.
+    A multi-line file cannot be split, so one task reads each; give a large source as a folder of files.
     """
     raw = spark.read.csv(
         path, sep=separator(path), header=True, multiLine=True, quote='"', escape='"', enforceSchema=False
     )
     columns = [F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    within_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return raw.select(*columns, within_file.alias(row_id))
-
-
-def land(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
-    """Write a scan as Parquet in as many files as the cluster has cores, and read it back."""
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    df.repartition(wanted).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return raw.select(*columns, F.monotonically_increasing_id().alias(row_id))
 
 
 def write_table(

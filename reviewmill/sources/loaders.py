@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill import settings
-from reviewmill.functions.numbers import to_number
+from reviewmill.functions.numbers import to_number, whole_number_text
 from reviewmill.operators.labeling import add_labels
 from reviewmill.sources.files import listed_files, read_delimited
 from reviewmill.sources.normalize import first_existing, flag_columns, normalize_reviews, union_reviews
@@ -19,7 +19,7 @@ from reviewmill.sources.records import preferred_file, read_records, record_by_i
 
 EMPTY = (
     "review_text string, label_raw string, source_dataset string, source_platform string, "
-    "source_file string, course_id string, review_id long, label_5class string, sentiment_label string, "
+    "source_file string, course_id string, review_id string, source_row_id long, label_5class string, sentiment_label string, "
     "label_source string"
 )
 
@@ -39,6 +39,14 @@ def _lineage(dataset_id: str, platform: str, file: str) -> list[Column]:
     ]
 
 
+def _row_ids(raw: DataFrame, id_column: str | None = None) -> list[Column]:
+    """The id as it is written; a row without one is known by its number in the file, which also keeps its order."""
+    number = F.col("source_row_id").cast("long")
+    by_number = F.concat(F.lit("row "), number.cast("string"))
+    own = F.col(id_column).cast("string") if id_column in raw.columns else F.lit(None).cast("string")
+    return [F.coalesce(own, by_number).alias("review_id"), number.alias("source_row_id")]
+
+
 def shape_main(raw: DataFrame, dataset_id: str, file: str, platform: str = "Kaggle") -> DataFrame:
     text = first_existing(raw.columns, ["Review", "review"])
     label = first_existing(raw.columns, ["Label", "label"])
@@ -47,11 +55,10 @@ def shape_main(raw: DataFrame, dataset_id: str, file: str, platform: str = "Kagg
     course = first_existing(raw.columns, ["CourseId", "course_id", "course"])
     columns = [
         F.col(f"`{text}`").alias("review_text"),
-        F.col(f"`{label}`").cast("string").alias("label_raw"),
+        whole_number_text(F.col(f"`{label}`")).alias("label_raw"),
         *_lineage(dataset_id, platform, file),
         (F.col(f"`{course}`") if course else F.lit(None)).cast("string").alias("course_id"),
-        # Without an id of its own a row is known by its number in the file.
-        F.col("Id" if "Id" in raw.columns else "source_row_id").cast("long").alias("review_id"),
+        *_row_ids(raw, "Id"),
     ]
     return add_labels(raw.select(*columns), "label_raw", settings.MAIN_LABEL_SOURCE)
 
@@ -62,12 +69,12 @@ def shape_weak(raw: DataFrame, dataset_id: str, file: str, platform: str = "Kagg
         raise ValueError(f"{file} lacks {missing}")
     columns = [
         F.col("reviews").alias("review_text"),
-        F.col("rating").cast("string").alias("label_raw"),
+        whole_number_text(F.col("rating")).alias("label_raw"),
         to_number(F.col("rating")).alias("rating"),
         F.col("course_id").cast("string").alias("course_id"),
         (F.col("date_reviews") if "date_reviews" in raw.columns else F.lit(None)).cast("string").alias("review_date"),
         *_lineage(dataset_id, platform, file),
-        F.col("source_row_id").cast("long").alias("review_id"),
+        *_row_ids(raw),
     ]
     return add_labels(raw.select(*columns), "label_raw", settings.WEAK_LABEL_SOURCE)
 

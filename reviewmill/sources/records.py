@@ -58,8 +58,8 @@ def _is_missing(records: DataFrame, field: str) -> Column:
 
 
 def audit_records(records: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """(dataset_id, severity, problem, detail): required fields that are empty, registered files that
-    do not exist, licences that are not stated.
+    """(dataset_id, severity, problem, detail): required fields that are empty, registered files and folders
+    (``local_dir``) that do not exist, licences that are not stated, a manifest without records.
 
     ``existing`` has a ``file`` column; the check is a shuffled anti-join, so neither the registered
     files nor the listing has to fit anywhere.
@@ -76,9 +76,24 @@ def audit_records(records: DataFrame, existing: DataFrame | None = None) -> Data
         F.lit("license_not_specified").alias("problem"),
         F.col("license").alias("detail"),
     )
-    found = missing.unionByName(unlicensed)
+    found = missing.unionByName(unlicensed).unionByName(
+        records.agg(F.count("*").alias("n")).filter("n = 0").select(
+            F.lit(None).cast("string").alias("dataset_id"), F.lit("failure").alias("severity"),
+            F.lit("empty_manifest").alias("problem"), F.lit("no record").alias("detail"),
+        )
+    )
     if existing is None:
         return found
+    if "local_dir" in records.columns:
+        parts = F.split("file", "/")
+        above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+        folders = existing.filter(F.contains("file", F.lit("/"))).select(F.explode(above).alias("folder")).distinct()
+        found = found.unionByName(
+            records.filter(F.col("local_dir") != "")
+            .withColumn("folder", F.regexp_replace("local_dir", "^(\\./)+|/+$", ""))
+            .join(folders, "folder", "left_anti")
+            .select("dataset_id", F.lit("failure").alias("severity"), F.lit("missing_folder").alias("problem"), F.col("local_dir").alias("detail"))
+        )
     gone = (
         record_files(records)
         .join(existing.select("file"), "file", "left_anti")

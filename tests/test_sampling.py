@@ -113,3 +113,28 @@ def test_stratify_column(spark):
     assert sampling.choose_stratify_column(df, True) == "sentiment_label"
     assert sampling.choose_stratify_column(df, False) == "not_praise"
     assert sampling.choose_stratify_column(df.limit(1), False) is None
+
+
+def test_null_repeated_and_text_ids_keep_sizes_exact(spark):
+    ids = [None] * 20 + ["same"] * 30 + [f"t{i}" for i in range(50)]
+    df = spark.createDataFrame([(r, "ab"[i % 2], f"text {i}") for i, r in enumerate(ids)], "review_id string, sentiment_label string, clean_text string")
+    assert sampling.sample_rows(df, 15).count() == 15 and sampling.sample_rows(df, 1000).count() == 100
+    balanced = sampling.balanced_sample(df, 7).groupBy("sentiment_label").count().collect()
+    assert sorted(r["count"] for r in balanced) == [7, 7]
+    sizes = {r.split: r["count"] for r in sampling.split_rows(df).groupBy("split").count().collect()}
+    assert sizes == {"test": 20, "val": 10, "train": 70}
+
+
+def test_any_number_of_strata(spark):
+    df = spark.range(240_000).select(F.col("id").alias("review_id"), (F.col("id") % 120_000).cast("string").alias("sentiment_label"))
+    sizes = {r.split: r["count"] for r in sampling.split_rows(df).groupBy("split").count().collect()}
+    assert sizes == {"test": 48_000, "val": 24_000, "train": 168_000}
+    assert sampling.balanced_sample(df, 1, required=()).count() == 120_000
+
+
+def test_a_class_too_small_for_the_second_cut(spark):
+    """Two rows of a class, one of them in test: train and val are then cut without regard to classes."""
+    df = spark.createDataFrame([(i, "big" if i > 1 else "pair") for i in range(12)], "review_id long, sentiment_label string")
+    rows = sampling.split_rows(df).collect()
+    sizes = {s: sum(r.split == s for r in rows) for s in ("test", "val", "train")}
+    assert sizes == {"test": 3, "val": 2, "train": 7}

@@ -70,7 +70,7 @@ def test_delimited_scan(spark, tmp_path):
         assert [tuple(r) for r in got] == [
             ('say "hi", twice', "line one\nline two", 0), (None, None, 1), ("é", " x ", 2),
         ]
-    landed = files.land(files.read_delimited(spark, str(tmp_path / "a.csv")), str(tmp_path / "landed"), 2)
+    landed = files.read_delimited(spark, str(tmp_path / "a.csv"))
     assert landed.count() == 3
     files.write_table(landed, str(tmp_path / "out_csv"), file_format="csv")
     back = spark.read.csv(str(tmp_path / "out_csv"), header=True, multiLine=True, escape='"')
@@ -104,7 +104,7 @@ def test_normalize(spark):
 def test_loaders(spark, base):
     data, _ = loaders.load_experiment_datasets(spark, str(base / "manifest.json"), str(base), IDS)
     assert data["main"].count() == 402
-    first = data["main"].filter("review_id = 0").first()
+    first = data["main"].filter("source_row_id = 0").first()
     assert first.label_source == settings.MAIN_LABEL_SOURCE and "\n" in first.review_text
     assert data["weak"].count() == 200 and set(data["weak"].columns) >= {"rating", "review_date"}
     aux = data["auxiliary"]
@@ -157,3 +157,33 @@ def test_full_run(spark, base, tmp_path):
     assert {r.split: r["count"] for r in stored.groupBy("split").count().collect()} == {"train": 280, "val": 40, "test": 80}
     for name in results:
         assert (tmp_path / "out" / name).is_dir()
+
+
+def test_ids_of_any_kind_and_whole_number_labels(spark):
+    raw = spark.createDataFrame(
+        [("a17", "good", "5.00", 0), (None, "bad", "1", 1), ("b2", "fine", "3.0", 2), (None, "okay", "4", 3)],
+        "Id string, Review string, Label string, source_row_id long",
+    )
+    rows = loaders.shape_main(raw, "d", "f.csv").orderBy("source_row_id").collect()
+    assert [r.review_id for r in rows] == ["a17", "row 1", "b2", "row 3"]
+    assert [r.label_5class for r in rows] == ["Very Positive", "Very Negative", "Neutral", "Positive"]
+
+
+def test_a_folder_of_files_has_unique_row_numbers(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(4):
+        (folder / f"{i}.csv").write_text('Id,Review\n' + "".join(f'{i}{k},"line one\nline {k}"\n' for k in range(3)))
+    rows = files.read_delimited(spark, str(folder)).collect()
+    assert len(rows) == len({r.source_row_id for r in rows}) == 12
+
+
+def test_audit_of_folders_and_of_an_empty_manifest(spark):
+    schema = records.RECORD
+    full = dict.fromkeys([f.split()[0] for f in schema.split(", ")], "x")
+    full |= {"files_downloaded": ["raw/a/x.csv"], "fields_used": ["f"], "known_limitations": ["l"]}
+    table = spark.createDataFrame([{**full, "dataset_id": "there", "local_dir": "./raw/a/"}, {**full, "dataset_id": "gone", "local_dir": "raw/b"}], schema)
+    existing = spark.createDataFrame([("raw/a/x.csv",)], "file string")
+    assert [(r.dataset_id, r.problem) for r in records.audit_records(table, existing).collect()] == [("gone", "missing_folder")]
+    empty = records.audit_records(table.filter("false"), existing).collect()
+    assert [(r.severity, r.problem) for r in empty] == [("failure", "empty_manifest")]

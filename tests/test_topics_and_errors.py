@@ -139,3 +139,29 @@ def test_summaries(spark, documents):
     assert [(r.course_id, r.sentiment_label) for r in top] == [("c1", "negative"), ("c1", "positive")]
     flags = spark.createDataFrame([(1, 0), (1, None)], "`a b` int, c int")
     assert {r.label: r.positive_count for r in summaries.flag_distribution(flags, ["a b", "c", "d"]).collect()} == {"a b": 2, "c": 0}
+
+
+def test_repeated_ids_give_one_representative(spark):
+    rows = [(1, "first", 0, 0.5), (1, "second", 0, 0.9), (1, "third", 0, 0.9), (2, "other", 1, 0.1)]
+    df = spark.createDataFrame(rows, "review_id long, clean_text string, topic_id int, topic_weight double")
+    assert {tuple(r) for r in topics.representatives(df).collect()} == {(0, "second"), (1, "other")}
+
+
+def test_error_table_without_predictions(spark):
+    row = errors.error_cases(None, None).first()
+    assert row.error_type == "not_run" and row.task == "not_available"
+
+
+def test_error_cases_with_repeated_ids(spark):
+    rows = [("m", i // 40, "text", "positive", "negative") for i in range(120)]
+    df = spark.createDataFrame(rows, "model string, review_id long, clean_text string, true_label string, predicted_label string")
+    assert errors.first_cases(errors.sentiment_errors(df), 30).count() == 30
+
+
+def test_more_passes_make_a_better_topic_model(spark):
+    """Two separate vocabularies: after ten passes the reviews of each sit in one topic."""
+    words = ["alpha beta gamma delta", "river stone meadow cloud"]
+    df = spark.createDataFrame([(i, " ".join([words[i % 2]] * 3)) for i in range(90)], "review_id long, clean_text string")
+    documents = topics.fit_topics(df, 2).documents.collect()
+    groups = {(r.review_id % 2, r.topic_id) for r in documents}
+    assert len(groups) == 2 and sum(r.topic_weight for r in documents) / len(documents) > 0.9
