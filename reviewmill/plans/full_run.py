@@ -11,8 +11,8 @@ from reviewmill import settings
 from reviewmill.operators import classifiers, cleaning, errors, guards, metrics, multilabel, sampling, summaries, topics
 from reviewmill.operators.labeling import SentimentInfo
 from reviewmill.plans.ablation import run_main_ablation
-from reviewmill.session import materialise
-from reviewmill.sources.files import write_table
+from reviewmill.session import materialise, stored_steps
+from reviewmill.sources.files import read_table, write_table
 from reviewmill.sources.loaders import DatasetIds, existing_files, load_experiment_datasets
 from reviewmill.sources.normalize import union_reviews
 from reviewmill.sources.records import audit_records
@@ -40,6 +40,9 @@ class Study:
     def write(self, df: DataFrame, name: str, *partition_by: str) -> None:
         write_table(df, f"{self.output.rstrip('/')}/{name}", partition_by, self.file_format)
 
+    def read(self, spark: SparkSession, name: str, like: DataFrame) -> DataFrame:
+        return read_table(spark, f"{self.output.rstrip('/')}/{name}", like, self.file_format)
+
 
 def _label_info(ids: DatasetIds, weak_present: bool) -> list[tuple]:
     return [
@@ -50,7 +53,16 @@ def _label_info(ids: DatasetIds, weak_present: bool) -> list[tuple]:
 
 
 def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
-    """Write every result table below ``study.output`` and return the ones a caller may look at."""
+    """Write every result table below ``study.output`` and return them as written.  The steps stored on the way are
+    deleted when the run ends."""
+    with stored_steps(spark):
+        results = _run(spark, study)
+        for name, table in results.items():
+            study.write(table, name)
+    return {name: study.read(spark, name, table) for name, table in results.items()}
+
+
+def _run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
     datasets, records = load_experiment_datasets(spark, study.manifest, study.base, study.ids)
     audit = audit_records(records, existing_files(spark, study.base))
     failures = audit.filter("severity = 'failure'").limit(5).collect()
@@ -136,6 +148,4 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
 
     results["model_comparison"] = metrics.model_comparison(scores, results["multilabel_results"])
     results["error_cases"] = errors.error_cases(predictions, flag_predictions)
-    for name, table in results.items():
-        study.write(table, name)
     return results

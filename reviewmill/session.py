@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -41,6 +42,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders of the runs that are under way, innermost last; steps stored outside a run have none.
+_RUN = [""]
+
+
+@contextmanager
+def stored_steps(spark: SparkSession) -> Iterator[str]:
+    """A run: the steps stored inside go into one folder, which is deleted at the end."""
+    _RUN.append(f"run-{uuid.uuid4().hex}/")
+    folder = f"{shared_folder(spark).rstrip('/')}/reviewmill/{_RUN[-1]}"
+    try:
+        yield folder
+    finally:
+        _RUN.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once, read many: for a table that several jobs below will scan.
 
@@ -48,7 +66,7 @@ def materialise(df: DataFrame) -> DataFrame:
     and not a recomputation, and later readers still get column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/reviewmill/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/reviewmill/{_RUN[-1]}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

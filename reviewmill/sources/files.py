@@ -43,6 +43,14 @@ def write_table(
     writer.save(path)
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame, file_format: str = "parquet") -> DataFrame:
+    """What :func:`write_table` has written of ``like``."""
+    reader = spark.read.schema(like.schema).format(file_format)
+    if file_format == "csv":
+        reader = reader.option("header", "true").option("escape", '"').option("multiLine", "true")
+    return reader.load(path)
+
+
 def listed_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path) of every file below ``folder``; only the listing is used, no content is read."""
     return (

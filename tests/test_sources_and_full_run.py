@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import csv
 import json
+import pathlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmill import settings
+from reviewmill import session, settings
 from reviewmill.plans.full_run import Study, run
 from reviewmill.sources import files, loaders, normalize, records
 
@@ -159,6 +160,14 @@ def test_full_run(spark, base, tmp_path):
         assert (tmp_path / "out" / name).is_dir()
 
 
+def test_stored_steps_are_gone_after_a_run(spark):
+    with session.stored_steps(spark) as folder:
+        assert session.materialise(spark.range(3)).count() == 3
+        path = pathlib.Path(folder.removeprefix("file:"))
+        assert len(list(path.iterdir())) == 1
+    assert not path.exists()
+
+
 def test_ids_of_any_kind_and_whole_number_labels(spark):
     raw = spark.createDataFrame(
         [("a17", "good", "5.00", 0), (None, "bad", "1", 1), ("b2", "fine", "3.0", 2), (None, "okay", "4", 3)],
