@@ -76,16 +76,13 @@ def sentiment_metrics(predictions: DataFrame, keys: Sequence[str] = ("model",))
     )
 
 
-def confusion_matrix(
-    predictions: DataFrame, labels: Sequence[str] = tuple(settings.THREE_CLASSES), keys: Sequence[str] = ("model",)
-) -> DataFrame:
-    """One row per true label in the given order, one column per predicted label, zeros included.
-    Labels outside the list do not count."""
-    cells = {
-        (t, p): F.sum(((F.col("true_label") == t) & (F.col("predicted_label") == p)).cast("long")).alias(f"_{i}_{j}")
+def _confusion(labels: Sequence[str]) -> tuple[list[Column], Column]:
+    """The aggregates of all cells, and the rows that they make."""
+    cells = [
+        F.sum(((F.col("true_label") == t) & (F.col("predicted_label") == p)).cast("long")).alias(f"_{i}_{j}")
         for i, t in enumerate(labels)
         for j, p in enumerate(labels)
-    }
+    ]
     rows = F.array(
         *[
             F.struct(
@@ -96,14 +93,27 @@ def confusion_matrix(
             for i, t in enumerate(labels)
         ]
     )
-    return predictions.groupBy(*keys).agg(*cells.values()).select(*keys, F.inline(rows))
+    return cells, rows
+
+
+def confusion_matrix(
+    predictions: DataFrame, labels: Sequence[str] = tuple(settings.THREE_CLASSES), keys: Sequence[str] = ("model",)
+) -> DataFrame:
+    """One row per true label in the given order, one column per predicted label, zeros included.
+    Labels outside the list do not count."""
+    cells, rows = _confusion(labels)
+    return predictions.groupBy(*keys).agg(*cells).select(*keys, F.inline(rows))
+
+
+def _share_correct() -> Column:
+    return F.avg((F.col("true_label") == F.col("predicted_label")).cast("double")).alias("share_correct")
 
 
 def best_model(predictions: DataFrame) -> DataFrame:
     """One row: the model with the highest share of correct predictions (ties: first name)."""
     return (
         predictions.groupBy("model")
-        .agg(F.avg((F.col("true_label") == F.col("predicted_label")).cast("double")).alias("share_correct"))
+        .agg(_share_correct())
         .orderBy(F.col("share_correct").desc(), "model")
         .limit(1)
     )
@@ -112,8 +122,10 @@ def best_model(predictions: DataFrame) -> DataFrame:
 def best_model_confusion(
     predictions: DataFrame, labels: Sequence[str] = tuple(settings.THREE_CLASSES)
 ) -> DataFrame:
-    best = best_model(predictions).select("model")
-    return confusion_matrix(predictions, labels).join(F.broadcast(best), "model", "left_semi")
+    """The confusion matrix of :func:`best_model`, from the same pass over the predictions."""
+    cells, rows = _confusion(labels)
+    best = predictions.groupBy("model").agg(*cells, _share_correct()).orderBy(F.col("share_correct").desc(), "model").limit(1)
+    return best.select("model", F.inline(rows))
 
 
 def _flag_totals(df: DataFrame, flags: Sequence[str], keys: Sequence[str]) -> DataFrame:
