@@ -188,15 +188,37 @@ def centres(live: DataFrame) -> DataFrame:
     return best.select("value", *[f"best.{name}" for name in ("node", "n", "core", "comp", "all_members")])
 
 
-def fitting_pairs(members: DataFrame, pivots: DataFrame, key: str) -> DataFrame:
+def fits(n: Column, one: Column, m: Column, two: Column) -> Column:
+    """Whether sizes n, m and cores allow similarity 0.75: 3/7 of both sizes shared."""
+    return 7 * F.least(one, two) >= 3 * (n + m)
+
+
+def centre_pairs(live: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of a large list's centre and its other members."""
+    centre = centres(live).select(
+        "value", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("core").alias("most"), F.col("comp").alias("other")
+    )
+    met = live.join(centre, "value").filter((F.col("comp") != F.col("other")) & fits(F.col("n"), F.col("core"), F.col("m"), F.col("most")))
+    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def with_own_lists(members: DataFrame) -> DataFrame:
+    """Adds ``lists``: the values under which the node stands here, K at most."""
+    own = members.groupBy("node").agg(F.sort_array(F.collect_set("value")).alias("lists"))
+    return members.join(own, "node")
+
+
+def fitting_pairs(members: DataFrame, pivots: DataFrame, key: str, first_only: bool = False) -> DataFrame:
     """Distinct pairs a < b of a pivot and a member with the same ``key``, in different components, whose sizes and
     cores allow similarity 0.75, that is 3/7 of both sizes shared.  A pivot meets only the steps of sizes that its own
     size and core leave.  Members of a large key are dealt out by a salt, as many as its size (``all_members``, with
-    both sides) asks for, and only the pivots are repeated."""
+    both sides) asks for, and only the pivots are repeated.  ``first_only``: a pair comes out of the first list that both
+    are in (column ``lists``), not of each."""
+    lists = ["lists"] if first_only else []
     salts = F.ceil(F.col("all_members") / SALT_ROWS).cast("int")
     left = members.select(
         key, size_step(F.col("n")).alias("step"), F.pmod(F.xxhash64("node", F.lit(1)), salts).cast("int").alias("salt"),
-        "node", "n", "core", "comp",
+        "node", "n", "core", "comp", *lists,
     )
     largest = F.least(F.col("n") * 4 / 3, F.col("core") * 7 / 3 - F.col("n")) + 0.5
     smallest = F.col("n") * 3 / 4 - 0.5
@@ -206,10 +228,12 @@ def fitting_pairs(members: DataFrame, pivots: DataFrame, key: str) -> DataFrame:
         .select(
             key, "step", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("pivot"),
             F.col("n").alias("m"), F.col("core").alias("most"), F.col("comp").alias("other"),
+            *[F.col(name).alias("their_lists") for name in lists],
         )
     )
-    fits = 7 * F.least("core", "most") >= 3 * (F.col("n") + F.col("m"))
-    met = left.join(right, [key, "step", "salt"]).filter((F.col("comp") != F.col("other")) & fits)
+    met = left.join(right, [key, "step", "salt"]).filter((F.col("comp") != F.col("other")) & fits(F.col("n"), F.col("core"), F.col("m"), F.col("most")))
+    if first_only:
+        met = met.filter(F.get(F.array_intersect("lists", "their_lists"), 0) == F.col(key))
     return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
@@ -265,14 +289,20 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, comp (its smallest reachable node), for nodes with links (u, v)."""
-    edges, before = materialise(links.filter("u != v").distinct()), None
+    """node, comp (its smallest reachable node), for nodes with links (u, v).  Done when the edges are stars: every
+    node has one parent, and no parent has one."""
+    edges = materialise(links.filter("u != v").distinct())
     while True:
-        edges = materialise(small_star(large_star(edges)))
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        edges = materialise(small_star(materialise(large_star(edges))))
+        roles = edges.select("u", F.col("v").alias("parent")).unionByName(
+            edges.select(F.col("v").alias("u"), F.lit(None).cast("long").alias("parent"))
+        )
+        parents = F.count("parent")
+        unfinished = roles.groupBy("u").agg(
+            ((F.min("parent") != F.max("parent")) | ((parents > 0) & (F.count("*") > parents))).alias("moves")
+        )
+        if unfinished.filter("moves").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        before = state
 
 
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -299,7 +329,7 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     live = current()
     small = live.filter(F.col("others") <= SMALL_LIST)
-    comps = joined(fitting_pairs(live, small.select(*centres(live).columns).unionByName(centres(live)), "value"))
+    comps = joined(fitting_pairs(small, small, "value").union(centre_pairs(live)).distinct())
 
     live = current().filter(F.col("all_members") > SMALL_LIST)
     apart = materialise(outside(live))
@@ -309,7 +339,8 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     comps = joined(fitting_pairs(within, against.join(sizes, "top"), "top"))
 
     again = apart.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    return joined(fitting_pairs(again, again, "value"))
+    again = with_own_lists(again)
+    return joined(fitting_pairs(again, again, "value", first_only=True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
