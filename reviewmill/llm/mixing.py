@@ -23,6 +23,8 @@ MOST_COPIES = 3
 SEED = "mix-1"
 # Cells of the Pareto ranking per source: no task ranks more than a 4096th of a source's documents.
 CELLS = 4096
+# Sources whose decisions are sent to every task.
+MOST_BROADCAST = 100_000
 
 
 def ranked_sources(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
@@ -134,6 +136,12 @@ def border(ranked: DataFrame) -> DataFrame:
     return attached(found.select("source", "border"), last)
 
 
+def checked(per_source: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has few enough sources, so that the documents stay where they are; beyond that a
+    stored table, whose join Spark shuffles and splits by skew."""
+    return F.broadcast(per_source) if per_source.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else per_source
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
     """The sized documents, and a row per source: source_size, target, rate, border, last."""
     sized = materialise(with_length_class(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))))
@@ -142,7 +150,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> tup
     aimed = materialise(targets(materialise(ranked_sources(sizes, weights)), most))
     rated = materialise(attached(aimed.drop("weight"), rates(attached(classes, aimed.select("source", "target")), most)))
     ranked = materialise(with_order(attached(sized, rated), most, seed))
-    return sized, attached(rated, border(ranked))
+    return sized, checked(materialise(attached(rated, border(ranked))))
 
 
 def with_copies(rows: DataFrame, per_source: DataFrame, most: int, seed: str) -> DataFrame:
@@ -168,7 +176,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; documents without words never.  The decisions need
-    a row per source only, so no text is shuffled."""
+    a row per source only; up to ``MOST_BROADCAST`` sources no text is shuffled for them."""
     _, per_source = plan(docs, weights, most, seed)
     narrow = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
     chosen = with_copies(with_length_class(narrow), per_source, most, seed).filter("copies > 0 and size > 0")
