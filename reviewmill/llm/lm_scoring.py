@@ -1,11 +1,13 @@
 """Masked pseudo-likelihood: a small bidirectional window network scores documents.
 
 1. Words are counted over the whole corpus; the ``TOP`` most frequent ones are tokens, all others share ``ENDINGS``
-   tokens by their last letters.  Every text is stored once as a row of tokens.
+   tokens by their last letters.  Every text is stored once as a row of tokens and the words behind shared tokens.
 2. The network predicts a masked word from ``SIDE`` words on either side: embeddings, one tanh layer, softmax over all
    tokens.  Each round, every task starts from the same weights, masks a share of the positions of all its texts and
    takes Adagrad steps in numpy; the average of the tasks' weights, by masked positions, starts the next round.
-3. A document's score masks every position in turn and sums the log-probabilities of its words.
+3. A document's score masks every position in turn and sums the log-probabilities of its words: that of the token by
+   the network, and that of the word given its token by the corpus counts.  The table of all counted words is joined
+   with the texts' words; it grows with the corpus and is never gathered in one place.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,14 +88,51 @@ def tokens(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
-    """doc_id, tokens (a byte each)."""
+    """row (its number), doc_id, tokens (a byte each), rest: the words without a token of their own, blanks between."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 500):
-            packed = [tokens(words_of(text), numbers).tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "tokens"])
+            packed, rest = [], []
+            for text in batch.column("text").to_pylist():
+                words = words_of(text)
+                packed.append(tokens(words, numbers).tobytes())
+                rest.append(b" ".join([word for word in words if word not in numbers]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(rest, pa.binary())],
+                names=["row", "doc_id", "tokens", "rest"],
+            )
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return numbered.mapInArrow(rows, "row bigint, doc_id bigint, tokens binary, rest binary")
+
+
+def word_rows(stored: DataFrame) -> DataFrame:
+    """word, rows, uses: where a word without a token of its own stands and how often; several rows per word."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 500):
+            words = pc.split_pattern(batch.column("rest"), pattern=" ")
+            own = np.repeat(np.arange(batch.num_rows), words.value_lengths())
+            coded = words.flatten().dictionary_encode()
+            pairs, uses = np.unique(coded.indices.to_numpy().astype(np.int64) * batch.num_rows + own, return_counts=True)
+            firsts = np.searchsorted(pairs, np.arange(len(coded.dictionary) + 1) * batch.num_rows).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    coded.dictionary,
+                    pa.ListArray.from_arrays(firsts, batch.column("row").take(pa.array(pairs % batch.num_rows))),
+                    pa.ListArray.from_arrays(firsts, pa.array(uses.astype(np.int64))),
+                ],
+                names=["word", "rows", "uses"],
+            )
+
+    some = stored.select("row", "rest").filter(F.length("rest") > 0)
+    return some.mapInArrow(listed, "word binary, rows array<bigint>, uses array<bigint>")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id bigint, tokens binary")
+def within_tokens(stored: DataFrame, words: DataFrame) -> DataFrame:
+    """row, within: the sum of ln p(word given its token) over the row's words; no row for texts without shared tokens."""
+    places = word_rows(stored).join(words, "word").select("log_share", F.explode(F.arrays_zip("rows", "uses")).alias("at"))
+    return places.groupBy(F.col("at.rows").alias("row")).agg(F.sum(F.col("at.uses") * F.col("log_share")).alias("within"))
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,19 +272,28 @@ def round_of(stored: DataFrame, network: Network, number: int) -> Network:
     return network.with_values(flat)
 
 
-def prepared(docs: DataFrame) -> tuple[DataFrame, Network]:
-    """The stored tokens of all texts, and the untrained network with the corpus shares."""
+def gathered(docs: DataFrame) -> tuple[DataFrame, Network, DataFrame]:
+    """The stored tokens of all texts, the untrained network with the corpus shares, and word, log_share: ln p(word
+    given its token) of every word that has no token of its own."""
     counts = materialise(word_counts(docs))
     frequent = counts.orderBy(F.desc("uses"), "word").limit(TOP).collect()
     numbers = {bytes(row.word): number for number, row in enumerate(frequent)}
     stored = materialise(encoded(docs, numbers))
-    ending = F.when(F.length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))
-    rest = counts.groupBy(F.pmod(F.crc32(ending), F.lit(ENDINGS)).cast("int").alias("ending"), F.col("word").isin(list(numbers)).alias("known")).agg(F.sum("uses").alias("uses"))
+    last = F.when(F.length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))
+    others = counts.filter(~F.col("word").isin(list(numbers))) if numbers else counts
+    others = others.withColumn("ending", F.pmod(F.crc32(last), F.lit(ENDINGS)).cast("int"))
     shares = np.zeros(TOKENS)
     shares[: len(frequent)] = [row.uses for row in frequent]
-    for row in rest.collect():  # two rows per ending
-        shares[TOP + row.ending] += 0 if row.known else row.uses
-    return stored, Network.first(shares / max(shares.sum(), 1))
+    for row in others.groupBy("ending").agg(F.sum("uses").alias("uses")).collect():
+        shares[TOP + row.ending] = row.uses
+    totals = F.array(*[F.lit(float(uses)) for uses in shares[TOP:]])
+    words = others.select("word", F.log(F.col("uses") / F.get(totals, F.col("ending"))).alias("log_share"))
+    return stored, Network.first(shares / max(shares.sum(), 1)), words
+
+
+def prepared(docs: DataFrame) -> tuple[DataFrame, Network]:
+    """The stored tokens of all texts, and the untrained network with the corpus shares."""
+    return gathered(docs)[:2]
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -253,7 +302,7 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ``docs`` needs doc_id and text; other columns are ignored.  Null, empty and wordless texts have no words, the sum
     0 and no mean.  Ids are passed through, repeated rows score alike.
     """
-    stored, network = prepared(docs)
+    stored, network, words = gathered(docs)
     for number in range(rounds):
         network = round_of(stored, network, number)
 
@@ -263,10 +312,14 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             context, target, row = windows(texts)
             sums = np.bincount(row, network.log_probabilities(context, target), minlength=len(texts))
             sizes = np.array([len(text) for text in texts])
-            means = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(sums.astype(np.float64)), means],
-                names=["doc_id", "n_words", "log_likelihood", "per_word"],
+                [batch.column("row"), batch.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(sums.astype(np.float64))],
+                names=["row", "doc_id", "n_words", "of_tokens"],
             )
 
-    return stored.mapInArrow(scored, "doc_id bigint, n_words bigint, log_likelihood double, per_word double")
+    rows = stored.select("row", "doc_id", "tokens").mapInArrow(scored, "row bigint, doc_id bigint, n_words bigint, of_tokens double")
+    log_likelihood = F.col("of_tokens") + F.coalesce("within", F.lit(0.0))
+    return rows.join(within_tokens(stored, words), "row", "left").select(
+        "doc_id", "n_words", log_likelihood.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, log_likelihood / F.col("n_words")).alias("per_word"),
+    )

@@ -81,3 +81,18 @@ def test_awkward_documents(awkward, awkward_rows, nothing):
     alike = [r.log_likelihood for r in got if r.doc_id in (7, 8)]
     assert max(alike) == pytest.approx(min(alike))
     assert lm.pseudo_likelihood(nothing).count() == 0
+
+
+def test_words_that_share_a_token_score_by_their_own_counts(spark):
+    """A word used once is less likely than a common word of the same ending, by the ratio of their uses."""
+    common = " ".join(f"w{i}" for i in range(lm.TOP))
+    rows = [(i, f"{common} {common} oftenxyz", "en", "a", 0) for i in range(40)]
+    rows += [(100, "w1 w2 oftenxyz w3 w4", "en", "a", 0), (101, "w1 w2 oncexyz w3 w4", "en", "a", 0), (102, "w1 w2 oncexyz oncexyz w4", "en", "a", 0)]
+    docs = frame(spark, rows)
+    got = {r.doc_id: r for r in lm.pseudo_likelihood(docs, rounds=0).collect()}
+    assert got[100].log_likelihood - got[101].log_likelihood == pytest.approx(math.log(41 / 3), abs=1e-4)
+    stored, _, words = lm.gathered(docs)
+    assert {bytes(r.word): r.log_share for r in words.collect()} == pytest.approx({b"oftenxyz": math.log(41 / 44), b"oncexyz": math.log(3 / 44)})
+    ids = {r.row: r.doc_id for r in stored.collect()}
+    within = {ids[r.row]: r.within for r in lm.within_tokens(stored, words).collect()}
+    assert within == pytest.approx({**dict.fromkeys([*range(40), 100], math.log(41 / 44)), 101: math.log(3 / 44), 102: 2 * math.log(3 / 44)})
