@@ -335,7 +335,12 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     apart = materialise(outside(live))
     against = apart.filter("top is not null").select("node", "n", "core", "comp", "top").distinct()
     sizes = comps.groupBy("comp").agg(F.count("*").alias("all_members")).withColumnRenamed("comp", "top")
-    within = lists.select("node", "n", "core").distinct().join(comps, "node").withColumn("top", F.col("comp")).join(sizes, "top")
+    # Every member, also the smallest id, for which components() has no row.
+    within = (
+        lists.select("node", "n", "core").distinct().join(comps, "node", "left")
+        .withColumn("comp", F.coalesce("comp", "node")).withColumn("top", F.col("comp"))
+        .join(against.select("top").distinct(), "top", "left_semi").join(sizes, "top")
+    )
     comps = joined(fitting_pairs(within, against.join(sizes, "top"), "top"))
 
     again = apart.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 from conftest import prose
+from pyspark.sql import functions as F
 
 from reviewmill.llm import near_dedup
 from tests_llm import frame
@@ -91,3 +92,21 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(64)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.comp for r in near_dedup.components(edges).collect()}
     assert got == {**dict.fromkeys(range(1, 65), 0), 101: 100}
+
+
+def test_an_outsider_that_is_like_the_smallest_id_alone(spark):
+    """Truncated copies share all their shingles, so the hash decides which is a list's centre; it is not the smallest
+    id.  An edited copy is like that id's text only."""
+    base = prose(5, 150).split()
+    hashed = {r.id: r.hashed for r in spark.range(200).select("id", F.xxhash64("id").alias("hashed")).collect()}
+    smallest = max(range(100), key=hashed.get)
+    rows = [(smallest, " ".join(base))]
+    rows += [(100 + cut, " ".join(base[cut:])) for cut in range(2, 30)] + [(150 + cut, " ".join(base[:-cut])) for cut in range(2, 30)]
+    outsider = list(base)
+    for place in (30, 60, 90, 120):
+        outsider[place] = f"new{place}"
+    rows.append((500, " ".join(outsider)))
+    expected = plain_components(rows)
+    assert set(expected.values()) == {(expected[i][0], smallest) for i in expected}
+    assert plain_components(rows[1:])[500][1] == 500
+    assert found(frame(spark, [(i, text, "en", "a", 0) for i, text in rows])) == expected
