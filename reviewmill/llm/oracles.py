@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written out from their definitions.
 
 The others are tested against plain versions: trained models (2, 3), decoded keys (4), latent search (5), reachability
-over sets (7), CRC-32 (9) and a tokenizer (10) have no DuckDB counterpart.
+over sets (7), CRC-32 (9) and tokenizers (10, 11) have no DuckDB counterpart.
 """
 
 from __future__ import annotations
@@ -149,4 +149,40 @@ select doc_id, size, source_size, target,
 from summed
 """
 
-ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op6_quality_rules": OP6, "op8_mixing": OP8}
+# Whole texts as keys of a window.
+OP12 = """
+with texts as (
+    select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm from documents)
+select doc_id, max(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
+    row_number() over (partition by norm order by doc_id desc nulls last) = 1 as kept, sha256(norm) as text_sha256
+from texts
+"""
+
+# Every anchor scored against every row, without bounds.
+OP13 = """
+with vectors as (
+    select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as e
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.e, b.e)::bigint as score
+    from vectors a join vectors b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+ranked as (
+    select p.anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+        row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+    from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+        and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_license_scan": OP1,
+    "op6_quality_rules": OP6,
+    "op8_mixing": OP8,
+    "op12_exact_dedup": OP12,
+    "op13_hard_negatives": OP13,
+}
