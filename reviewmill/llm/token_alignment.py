@@ -42,6 +42,10 @@ REMEMBERED_TOKENS = 4_000_000
 # Fixed value: how vocabulary A's public tokenizer cuts a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# A blank beside another one, of any kind.
+BESIDE = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in ((c + " ", " " + c) if c != " " else ("  ",))]
+# New pieces that are encoded in one go.
+TOGETHER = 2000
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,13 +62,12 @@ def byte_level(path: str):
 
     with open(path, encoding="utf-8") as lines:
         model = json.load(lines)["model"]
-    letters = byte_letters()
-    ranks = {bytes(letters[c] for c in token): number for token, number in model["vocab"].items() if all(c in letters for c in token)}
-    merged = [bytes(letters[c] for c in "".join(pair if isinstance(pair, list) else pair.split(" "))) for pair in model["merges"]]
-    order = [ranks[token] for token in merged]
-    special = {number for token, number in model["vocab"].items() if token.startswith("<|") and token.endswith("|>") and number > max(order)}
-    ranks = {token: number for token, number in ranks.items() if number not in special}
-    if order != sorted(order):
+    letters = str.maketrans({letter: chr(byte) for letter, byte in byte_letters().items()})
+    raw = lambda written: written.translate(letters).encode("latin-1")
+    merged = [raw("".join(pair) if isinstance(pair, list) else pair.replace(" ", "")) for pair in model["merges"]]
+    # Special tokens come after the merges; in a text their strings are plain.
+    ranks = {raw(token): number for token, number in model["vocab"].items() if number < 256 + len(merged)}
+    if [ranks.get(token) for token in merged] != list(range(256, 256 + len(merged))):
         raise ValueError(f"the ids of {path} don't follow its merges")
     encoder = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return encoder, {number: token for token, number in ranks.items()}
@@ -79,21 +82,25 @@ def pieces(path: str):
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         found[i] = bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
-        if re.search("[^▁]▁", piece):
+        if "▁" in piece.lstrip("▁"):
             raise ValueError(f"{path} joins blanks to words before them: {piece}")
     return model, found
 
 
 class Flat:
-    """Lists of ids and of token lengths, one per unit, one after the other."""
+    """Lists of ids, one per unit, one after the other."""
 
-    def __init__(self, lengths: np.ndarray):
-        self.lengths, self.ids, self.at = lengths, np.zeros(0, np.int64), np.zeros(1, np.int64)
+    def __init__(self):
+        self.ids, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for each in lists for i in each), np.int64, int(sizes.sum()))])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+    def settle(self) -> None:
+        """Takes over the lists of ``new``: their ids and their lengths."""
+        if self.new:
+            ids, sizes = (np.concatenate(each) for each in zip(*self.new, strict=True))
+            self.ids = np.concatenate([self.ids, ids])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+            self.new = []
 
     def gathered(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and the number of tokens per unit."""
@@ -103,6 +110,27 @@ class Flat:
         return self.ids[places], sizes
 
 
+def cut(text: str) -> list[str]:
+    """The pieces of a text between single blanks that have other characters on both sides."""
+    if not text:
+        return []
+    if text[0].isspace() or text[-1].isspace() or any(pair in text for pair in BESIDE):
+        return CUT.split(text)
+    return text.split(" ")
+
+
+class Numbers(dict):
+    """Numbers pieces as they are met."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        number = self[word] = len(self)
+        return number
+
+
 class Units:
     """Both encodings of the pieces of text met so far.  A piece stands for itself with a blank before it."""
 
@@ -116,27 +144,58 @@ class Units:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.a, self.b = Flat(self.sizes[0]), Flat(self.sizes[1])
+        self.known = Numbers()
+        self.a, self.b = Flat(), Flat()
         self.same = np.zeros(0, bool)
 
     def of(self, words: list[str]) -> np.ndarray:
         """Numbers of the pieces."""
-        known = self.known
-        new = [word for word in dict.fromkeys(words) if word not in known]
-        if new:
-            in_a = self.encoder_a.encode_ordinary_batch([" " + word for word in new], num_threads=1)
-            in_b = self.encoder_b.encode(new, num_threads=1)
-            self.a.add(in_a)
-            self.b.add(in_b)
-            whole = [(" " + word).encode() for word in new]
-            same = [
-                b"".join(map(self.bytes_a.__getitem__, x)) == text and b"".join(map(self.bytes_b.__getitem__, y)) == text
-                for x, y, text in zip(in_a, in_b, whole, strict=True)
-            ]
-            self.same = np.concatenate([self.same, same])
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new, self.known.new = self.known.new, []
+        same, run = [], []
+        for word in [*new, None]:
+            # Only the first and the last piece of a text can have a blank at an end.
+            odd = word is None or word[:1].isspace() or word[-1:].isspace()
+            if odd or len(run) == TOGETHER:
+                same.append(self.add_joined(run))
+                run = []
+            if not odd:
+                run.append(word)
+            elif word is not None:
+                same.append(self.add_one(word))
+        self.a.settle()
+        self.b.settle()
+        self.same = np.concatenate([self.same, *same])
+        return numbers
+
+    def add_one(self, word: str) -> np.ndarray:
+        in_a, in_b, text = self.encoder_a.encode_ordinary(" " + word), self.encoder_b.encode(word), (" " + word).encode()
+        same = b"".join(map(self.bytes_a.__getitem__, in_a)) == text and b"".join(map(self.bytes_b.__getitem__, in_b)) == text
+        self.a.new.append((np.array(in_a, np.int64), np.array([len(in_a)])))
+        self.b.new.append((np.array(in_b, np.int64), np.array([len(in_b)])))
+        return np.array([same])
+
+    def add_joined(self, words: list[str]) -> np.ndarray:
+        """Encodes the pieces as one text: no token reaches over the blank between two of them.  If its bytes differ
+        somewhere, one by one."""
+        if not words:
+            return np.zeros(0, bool)
+        text = " ".join(words)
+        whole = (" " + text).encode()
+        ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        found = []
+        for ids, table, sizes in (
+            (self.encoder_a.encode_ordinary(" " + text), self.bytes_a, self.sizes[0]),
+            (self.encoder_b.encode(text), self.bytes_b, self.sizes[1]),
+        ):
+            if b"".join(map(table.__getitem__, ids)) != whole:
+                return np.concatenate([self.add_one(word) for word in words])
+            ids = np.array(ids, np.int64)
+            at = np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
+            found.append((ids, np.diff(at, prepend=0)))
+        self.a.new.append(found[0])
+        self.b.new.append(found[1])
+        return np.ones(len(words), bool)
 
     def is_full(self) -> bool:
         return len(self.known) > REMEMBERED or len(self.a.ids) > REMEMBERED_TOKENS
@@ -172,7 +231,7 @@ def bounds(sizes: np.ndarray) -> np.ndarray:
 
 def aligned(units: Units, texts: list[str]) -> tuple[dict[str, np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Per text its counts and the digest of its groups; then the distinct links of all texts: text, pair, times."""
-    words = [CUT.split(text) if text else [] for text in texts]
+    words = [cut(text) for text in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     numbers = units.of([word for each in words for word in each])
     owner = np.repeat(np.arange(len(texts)), counts)
