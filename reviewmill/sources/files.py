@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.sources.ranges import read_in_ranges
+
 # --- fixed values: cell contents that mean "no value" ---------------------------------------
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -18,17 +20,21 @@ def separator(path: str) -> str:
     return "\t" if path.lower().endswith(".tsv") else ","
 
 
-def read_delimited(spark: SparkSession, path: str, row_id: str = "source_row_id") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, row_id: str = "source_row_id", in_ranges: bool = False) -> DataFrame:
     """A CSV or TSV file, or a folder of them, with a header and quoted multi-line text; every column a string, plus
     a row number: 0, 1, 2, ... in a single file, ascending and unique (not gapless) over a folder.
 
-    A multi-line file cannot be split, so one task reads each; give a large source as a folder of files.
+    One task reads each file, and a stray quote inside a field is taken as it stands.  ``in_ranges`` reads large files
+    by many tasks and numbers rows without gaps over a folder; quotes must then follow the usual rule.
     """
-    raw = spark.read.csv(
-        path, sep=separator(path), header=True, multiLine=True, quote='"', escape='"', enforceSchema=False
-    )
-    columns = [F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    return raw.select(*columns, F.monotonically_increasing_id().alias(row_id))
+    if in_ranges:
+        raw = read_in_ranges(spark, path, separator(path), row_id)
+    else:
+        raw = spark.read.csv(
+            path, sep=separator(path), header=True, multiLine=True, quote='"', escape='"', enforceSchema=False
+        ).withColumn(row_id, F.monotonically_increasing_id())
+    cells = [c for c in raw.columns if c != row_id]
+    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in cells], row_id)
 
 
 def write_table(
