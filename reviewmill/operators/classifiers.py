@@ -10,10 +10,8 @@ from functools import partial
 
 from pyspark.ml.classification import (
     LogisticRegressionModel,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
@@ -21,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
-from reviewmill.operators import naive_bayes
+from reviewmill.operators import linear, naive_bayes
 from reviewmill.operators.features import (
     SENTIMENT,
     TextFeatures,
@@ -38,6 +36,7 @@ from reviewmill.operators.guards import FEW_CLASSES, sentiment_not_run
 from reviewmill.operators.labeling import SentimentInfo
 from reviewmill.operators.labeling import feature_columns
 from reviewmill.operators.metrics import sentiment_metrics
+from reviewmill.operators.passes import as_rows
 from reviewmill.operators.sampling import balanced_sample
 from reviewmill.session import in_parallel, materialise
 
@@ -50,6 +49,7 @@ class TrainingSet:
     test: DataFrame
     classes: list[str]
     rows: int
+    width: int
 
 
 def encode(df: DataFrame, label: str, classes: Sequence[str]) -> Column:
@@ -91,7 +91,7 @@ def prepare(
     train_vectors = vectorizer.transform(with_class_weight(train, weights, label))
     train_vectors = train_vectors.select(*keep, encode(train, label, classes).alias("label"), "features", "class_weight")
     test_vectors = vectorizer.transform(test).select(*keep, "clean_text", F.col(label).alias("true_label"), "features")
-    return TrainingSet(materialise(train_vectors), materialise(test_vectors), classes, rows)
+    return TrainingSet(materialise(train_vectors), materialise(test_vectors), classes, rows, len(vectorizer.terms))
 
 
 def logistic(rows: int, iterations: int = settings.ITERATIONS):
@@ -102,9 +102,22 @@ def logistic(rows: int, iterations: int = settings.ITERATIONS):
     )
 
 
-def linear_svm(rows: int, iterations: int = settings.ITERATIONS):
-    binary = LinearSVC(weightCol="class_weight", standardization=False, regParam=1.0 / rows, maxIter=iterations, tol=1e-4)
-    return OneVsRest(classifier=binary, weightCol="class_weight", parallelism=3)
+def svm_problem(data: TrainingSet) -> linear.Problem:
+    """One squared hinge per class against the rest, all on the same rows; penalty half the squared norm of the weights,
+    intercept included, losses summed with the balanced weights."""
+    sides = [F.when(F.col("label") == i, 1.0).otherwise(-1.0).alias(f"side_{i}") for i in range(len(data.classes))]
+    rows = as_rows(data.train, ("label", "class_weight")).select("*", *sides)
+    sides = tuple(f"side_{i}" for i in range(len(data.classes)))
+    return linear.Problem(rows, sides, ("class_weight",) * len(sides), data.width, free_intercept=False)
+
+
+def svm_predictions(data: TrainingSet, model: linear.Linear) -> DataFrame:
+    """Test rows with ``predicted_label``: the class with the largest margin."""
+    if not model.converged:
+        warnings.warn(f"stopped after {model.passes} passes without converging", stacklevel=2)
+    rows = as_rows(data.test, [c for c in data.test.columns if c != "features"])
+    scored = linear.scored(rows, model)
+    return scored.withColumn("predicted_label", decode(linear.largest(F.col("margins")), data.classes)).drop("margins")
 
 
 def random_forest(rows: int, trees: int = 40, depth: int = 30):
@@ -121,13 +134,6 @@ def random_forest(rows: int, trees: int = 40, depth: int = 30):
     )
 
 
-ESTIMATORS: dict[str, Callable] = {
-    settings.LOGISTIC_NAME: logistic,
-    settings.SVM_NAME: linear_svm,
-    settings.FOREST_NAME: random_forest,
-}
-
-
 def fit_predict(data: TrainingSet, estimator) -> DataFrame:
     """Fit on the training vectors; test rows with ``predicted_label``.  A fit that used all its iterations without
     converging is reported as a warning."""
@@ -140,6 +146,13 @@ def fit_predict(data: TrainingSet, estimator) -> DataFrame:
     )
 
 
+FITTED: dict[str, Callable[[TrainingSet], DataFrame]] = {
+    settings.LOGISTIC_NAME: lambda data: fit_predict(data, logistic(data.rows)),
+    settings.SVM_NAME: lambda data: svm_predictions(data, linear.fit_squared_hinge(svm_problem(data))),
+    settings.FOREST_NAME: lambda data: fit_predict(data, random_forest(data.rows)),
+}
+
+
 def _weights(df: DataFrame, idf: DataFrame, features: TextFeatures, keep: tuple[str, ...], id_column: str) -> DataFrame:
     """Shuffling the texts by id first puts all terms of a review in one place; the scaling and any
     sum per review then need no shuffle, and texts are much smaller than their exploded terms."""
@@ -186,15 +199,15 @@ def train_sentiment_baselines(
     if train.select(label).distinct().limit(2).count() < 2 or test.isEmpty():
         return sentiment_not_run(spark, FEW_CLASSES, models), None
     keep = [c for c in ("review_id", "review_text", "course_id") if c in test.columns]
-    linear = [name for name in models if name in ESTIMATORS]
-    data = prepare(train, test, label, features, keep) if linear else None
+    on_vectors = [name for name in models if name in FITTED]
+    data = prepare(train, test, label, features, keep) if on_vectors else None
 
     def predict(name: str) -> DataFrame:
         if name == settings.BAYES_NAME:
             model, idf = bayes_fit(train, label, features)
             predicted = bayes_predict(model, idf, test, features).withColumn("true_label", F.col(label))
         else:
-            predicted = fit_predict(data, ESTIMATORS[name](data.rows))
+            predicted = FITTED[name](data)
         return predicted.select(F.lit(name).alias("model"), *keep, "clean_text", "true_label", "predicted_label")
 
     parts = in_parallel([partial(predict, name) for name in models], at_once=2)

@@ -1,21 +1,22 @@
-"""Multi-label feedback types: one binary classifier per flag on shared features."""
+"""Multi-label feedback types: one binary classifier per flag on shared features, fitted together."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import partial
+from dataclasses import dataclass, replace
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
+from reviewmill.operators import linear
 from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer, multilabel_variant_features
 from reviewmill.operators.guards import CONSTANT_FLAGS, NO_FLAGS, multilabel_not_run
 from reviewmill.operators.metrics import multilabel_metrics, per_label_report
 from reviewmill.operators.labeling import feature_columns
-from reviewmill.session import in_parallel, materialise
+from reviewmill.operators.passes import as_rows
+from reviewmill.session import materialise
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,9 @@ class MultilabelResult:
     results: DataFrame
     predictions: DataFrame | None
     label_report: DataFrame | None
+    #: What was fitted, and the fit; None if every flag keeps a constant.
+    problem: linear.Problem | None = None
+    model: linear.Linear | None = None
 
 
 def flag_shares(train: DataFrame, flags: Sequence[str]) -> DataFrame:
@@ -50,12 +54,16 @@ def label_set(flags: Sequence[str], prefix: str = "") -> Column:
     return F.concat_ws("; ", *[F.when(F.col(f"`{prefix}{f}`") == 1, F.lit(f)) for f in flags])
 
 
-def _fit_flag(vectors: DataFrame, flag: str, positives: int, rows: int):
-    """Balanced binary logistic regression for one flag."""
-    weight = F.when(F.col(f"`{flag}`") == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
-    return LogisticRegression(
-        family="binomial", weightCol="_weight", standardization=False, regParam=1.0 / rows, maxIter=settings.ITERATIONS, tol=1e-4
-    ).fit(vectors.select("features", F.col(f"`{flag}`").cast("double").alias("label"), weight.alias("_weight")))
+def flag_problem(vectors: DataFrame, flags: Sequence[str], totals, rows: int, width: int) -> linear.Problem:
+    """One balanced logistic loss per flag, all on the same rows; penalty half the squared norm without the intercepts."""
+    sides, weights = [], []
+    for i, flag in enumerate(flags):
+        has = F.col(f"`{flag}`") == 1
+        sides.append(F.when(has, 1.0).otherwise(-1.0).alias(f"side_{i}"))
+        weights.append(F.when(has, rows / (2.0 * totals[flag])).otherwise(rows / (2.0 * (rows - totals[flag]))).alias(f"weight_{i}"))
+    table = as_rows(vectors, [f"`{flag}`" for flag in flags]).select("indices", "values", *sides, *weights)
+    each = range(len(flags))
+    return linear.Problem(table, tuple(f"side_{i}" for i in each), tuple(f"weight_{i}" for i in each), width, free_intercept=True)
 
 
 def train_multilabel(
@@ -66,7 +74,7 @@ def train_multilabel(
     id_column: str = "review_id",
 ) -> MultilabelResult:
     """Flags that never vary in training keep their constant; the others get a balanced logistic
-    regression each, fitted on the same stored vectors."""
+    regression each, all fitted in the same passes over the stored vectors."""
     spark = train.sparkSession
     available = [f for f in flags if f in train.columns]
     if not available:
@@ -78,16 +86,18 @@ def train_multilabel(
     rows = totals["rows"]
     active = [f for f in available if 0 < totals[f] < rows]
     name = settings.OVR_NAME if active else settings.MAJORITY_NAME
+    problem = model = None
     test = test.select(id_column, "clean_text", *[f"`true_{f}`" for f in available])
     if active:
         vectorizer = Vectorizer.fit(train.select(*feature_columns(train)), features)
         vectors = materialise(vectorizer.transform(train).select("features", *[f"`{f}`" for f in active]))
-        scored = materialise(vectorizer.transform(test))
-        fits = in_parallel([partial(_fit_flag, vectors, flag, totals[flag], rows) for flag in active])
-        for flag, model in zip(active, fits):
-            scored = model.transform(scored).withColumn(f"pred_{flag}", F.col("prediction").cast("int"))
-            scored = scored.drop("rawPrediction", "probability", "prediction")
-        test = scored.drop("features")
+        problem = flag_problem(vectors, active, totals, rows, len(vectorizer.terms))
+        model = linear.fit_logistic(problem)
+        if not model.converged:
+            warnings.warn(f"stopped after {model.passes} passes without converging", stacklevel=2)
+        scored = linear.scored(as_rows(vectorizer.transform(test), [f"`{c}`" for c in test.columns]), model)
+        found = [(F.get("margins", i) > 0).cast("int").alias(f"pred_{flag}") for i, flag in enumerate(active)]
+        test = scored.select("*", *found).drop("margins")
     constants = {f: int(totals[f] / rows >= 0.5) if rows else 0 for f in available if f not in active}
     for flag, value in constants.items():
         test = test.withColumn(f"pred_{flag}", F.lit(value))
@@ -102,7 +112,7 @@ def train_multilabel(
         label_set(available, "pred_").alias("predicted_labels"),
         *[f"`{side}_{f}`" for f in available for side in ("true", "pred")],
     )
-    return MultilabelResult(results, predictions, per_label_report(wide, available))
+    return MultilabelResult(results, predictions, per_label_report(wide, available), problem, model)
 
 
 def train_multilabel_variant(
@@ -130,4 +140,4 @@ def train_multilabel_variant(
         .withColumn("train_rows", F.lit(rows))
         .withColumn("test_rows", F.lit(test.count()))
     )
-    return MultilabelResult(labelled, result.predictions, result.label_report)
+    return replace(result, results=labelled)

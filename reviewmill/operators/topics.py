@@ -9,23 +9,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill import settings
+from reviewmill.operators import lda
 from reviewmill.operators.features import TOPICS, TextFeatures, Vectorizer
-from reviewmill.session import materialise
+from reviewmill.operators.passes import stored_rows
 
 
 def topic_count(documents: int, max_topics: int, vocabulary_size: int) -> int:
-    """Two topics below 100 documents, from there one per 50, up to ``max_topics``; one per term at most."""
-    if documents < 100:
-        by_size = 2
-    else:
-        by_size = sorted((2, documents // 50, max(2, max_topics)))[1]
-    return min(by_size, max(1, vocabulary_size))
+    """Fixed rule: two topics below 100 documents, from there one per 50; at least two, at most ``max_topics`` (but never
+    below two), and one per term at most."""
+    wanted = documents // 50 if documents >= 100 else 2
+    if wanted > max_topics:
+        wanted = max_topics
+    if wanted < 2:
+        wanted = 2
+    return min(wanted, max(1, vocabulary_size))
 
 
 @dataclass(frozen=True)
@@ -40,42 +41,29 @@ def fit_topics(
     max_topics: int = settings.TOPIC_COUNT["full"],
     features: TextFeatures = TOPICS,
     iterations: int = settings.TOPIC_ITERATIONS,
-    share_per_iteration: float = 1.0,
     seed: int = settings.SEED,
 ) -> Topics | None:
-    """LDA over unigram counts; None below the minimum number of documents.
-
-    The online optimiser draws the reviews of an iteration with replacement: at ``share_per_iteration`` 1 each reads
-    about 63% of them, other ones every time.  ``learningOffset`` is 1, so the first iterations count fully.
-    """
+    """LDA over unigram counts, every review in every pass; None below the minimum number of documents."""
     documents = df.count()
     if documents < settings.MIN_TOPIC_DOCUMENTS:
         return None
     vectorizer = Vectorizer.fit(df, features, weighting="counts")
-    k = topic_count(documents, max_topics, len(vectorizer.terms))
-    # Written once: the fit reads it per iteration, the assignment once more.
-    counted = materialise(vectorizer.transform(df))
+    width = len(vectorizer.terms)
+    k = topic_count(documents, max_topics, width)
+    # Written once: each pass reads it, the assignment once more.
+    counted = stored_rows(vectorizer.transform(df), df.columns)
     if k == 1:
-        assigned = counted.withColumn("topicDistribution", F.array(F.lit(1.0)))
-        top = [list(range(min(settings.TOPIC_KEYWORDS, len(vectorizer.terms))))]
+        assigned = counted.drop("indices", "values").withColumn("topicDistribution", F.array(F.lit(1.0)))
+        top = [list(range(min(settings.TOPIC_KEYWORDS, width)))]
     else:
-        model = LDA(
-            k=k,
-            maxIter=iterations,
-            seed=seed,
-            optimizer="online",
-            learningOffset=1.0,
-            subsamplingRate=share_per_iteration,
-            featuresCol="features",
-        ).fit(counted)
-        assigned = model.transform(counted).withColumn("topicDistribution", vector_to_array("topicDistribution"))
-        described = model.describeTopics(settings.TOPIC_KEYWORDS).orderBy("topic").collect()
-        top = [list(row.termIndices) for row in described]
+        model = lda.fit(counted, k, width, iterations, seed)
+        assigned = model.assigned(counted)
+        top = model.top_terms(settings.TOPIC_KEYWORDS)
     keywords = df.sparkSession.createDataFrame(
         [(topic, i + 1, vectorizer.terms[term]) for topic, terms in enumerate(top) for i, term in enumerate(terms)],
         "topic_id int, position int, term string",
     )
-    return Topics(k, dominant_topic(assigned.drop("features"), k), keywords)
+    return Topics(k, dominant_topic(assigned, k), keywords)
 
 
 def dominant_topic(df: DataFrame, k: int, distribution: str = "topicDistribution") -> DataFrame:

@@ -5,15 +5,17 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
+from reviewmill.operators import lda
 from reviewmill.operators.classifiers import TrainingSet, fit_predict, logistic, prepare
 from reviewmill.operators.features import TOPICS, Vectorizer, ablation_features
 from reviewmill.operators.metrics import sentiment_metrics
+from reviewmill.operators.passes import as_rows, stored_rows
 from reviewmill.operators.sampling import course_holdout, sample_rows, split_rows
 from reviewmill.operators.topics import topic_count
 from reviewmill.session import in_parallel, materialise
@@ -45,24 +47,21 @@ def split_for(df: DataFrame, label: str, holdout: bool) -> DataFrame:
 
 def with_topic_shares(data: TrainingSet, train: DataFrame, test: DataFrame) -> TrainingSet:
     """Append the topic shares of an LDA fitted on the training rows only."""
-    counts = Vectorizer.fit(train, TOPICS, weighting="counts", output="topic_counts")
-    train_counts = materialise(counts.transform(train.select("review_id", "clean_text")))
+    counts = Vectorizer.fit(train, TOPICS, weighting="counts")
+    train_counts = stored_rows(counts.transform(train.select("review_id", "clean_text")), ("review_id",))
     k = topic_count(train_counts.count(), settings.TOPIC_COUNT["quick"], len(counts.terms))
-    model = LDA(
-        k=max(k, 2), maxIter=settings.TOPIC_ITERATIONS, seed=settings.SEED, optimizer="online", learningOffset=1.0,
-        subsamplingRate=1.0, featuresCol="topic_counts",
-    ).fit(train_counts)
-    join = VectorAssembler(inputCols=["features", "topicDistribution"], outputCol="_both")
-
-    def extend(vectors: DataFrame, rows: DataFrame) -> DataFrame:
-        shares = model.transform(counts.transform(rows.select("review_id", "clean_text"))).select(
-            "review_id", "topicDistribution"
-        )
+    model = lda.fit(train_counts, max(k, 2), len(counts.terms), settings.TOPIC_ITERATIONS, settings.SEED)
+    join = VectorAssembler(inputCols=["features", "shares"], outputCol="_both")
+
+    def extend(vectors: DataFrame, counted: DataFrame) -> DataFrame:
+        shares = model.assigned(counted).select("review_id", array_to_vector("topicDistribution").alias("shares"))
         both = join.transform(vectors.join(shares, "review_id"))
-        return both.drop("features", "topicDistribution").withColumnRenamed("_both", "features")
+        return both.drop("features", "shares").withColumnRenamed("_both", "features")
 
+    test_counts = as_rows(counts.transform(test.select("review_id", "clean_text")), ("review_id",))
     return TrainingSet(
-        materialise(extend(data.train, train)), materialise(extend(data.test, test)), data.classes, data.rows
+        materialise(extend(data.train, train_counts)), materialise(extend(data.test, test_counts)),
+        data.classes, data.rows, data.width + max(k, 2),
     )
 
 

@@ -17,6 +17,7 @@ from reviewmill.operators import (
     features,
     guards,
     labeling,
+    linear,
     metrics,
     multilabel,
     sampling,
@@ -347,11 +348,32 @@ def _facts(result, split, predictions, label):
     )
 
 
+def _at_optimum(problem, model, slope):
+    """Whether the fit is where its loss with its penalty is least, told from the stored weights and column expressions:
+    along the weights, the slopes of the losses and the penalty cancel out, and so they do along the intercept.  ``slope``:
+    derivative of the loss at y * margin.  A wrong penalty, loss or row weight fails this."""
+    scored = linear.scored(problem.chosen(), model)
+    sums = []
+    for i, (target, weight) in enumerate(zip(problem.targets, problem.weights)):
+        margin, y = F.get("margins", i), F.col(target)
+        pull = F.col(weight) * slope(y * margin) * y
+        sums += [F.sum(pull * (margin - float(model.weights[-1, i]))).alias(f"along_{i}"), F.sum(pull).alias(f"level_{i}")]
+    found = scored.agg(*sums).first()
+    gaps = []
+    for i in range(len(problem.targets)):
+        intercept = model.weights[-1, i]
+        norm = float((model.weights[:-1, i] ** 2).sum())
+        gaps += [abs(found[f"along_{i}"] + norm) / norm, abs(found[f"level_{i}"] + (0 if problem.free_intercept else intercept)) / norm]
+    return max(gaps) < 0.02
+
+
 def _flag_facts(result, split, in_training):
-    """Rows, and per flag its positives among the scored rows; whether any flag was found."""
+    """Rows, and per flag its positives among the scored rows; whether any flag was found, and whether the fit is the
+    optimum of its loss."""
+    best = _at_optimum(result.problem, result.model, lambda z: -1 / (1 + F.exp(z)))
     sizes = split.agg(F.count_if(F.col("split").isin(in_training)).alias("train_rows"), F.count_if(F.col("split") == "test").alias("test_rows"))
     found = result.label_report.select("label", F.col("support").cast("long").alias("support"), F.lit(result.results.first()["micro_f1"] > 0).alias("any_found"))
-    return found.join(sizes)
+    return found.join(sizes).withColumn("at_optimum", F.lit(best))
 
 
 def _baseline(spark, sf_dir, model):
@@ -367,7 +389,14 @@ def train_logreg(spark, sf_dir):
 
 @query
 def train_linear_svm(spark, sf_dir):
-    return _baseline(spark, sf_dir, settings.SVM_NAME)
+    train, test = _train_test(spark, sf_dir)
+    data = classifiers.prepare(train, test)
+    problem = classifiers.svm_problem(data)
+    model = linear.fit_squared_hinge(problem)
+    predictions = materialise(classifiers.svm_predictions(data, model).withColumn("model", F.lit(settings.SVM_NAME)))
+    best = _at_optimum(problem, model, lambda z: -2 * F.greatest(1 - z, F.lit(0.0)))
+    facts = _facts(metrics.sentiment_metrics(predictions).first(), train.unionByName(test), predictions, "sentiment_label")
+    return facts.withColumn("at_optimum", F.lit(best))
 
 
 @query
