@@ -48,11 +48,11 @@ def block_key(block: Column, seed: int) -> Column:
     return F.struct(F.xxhash64(block, F.lit(2 * seed)).alias("x"), F.xxhash64(F.lit(2 * seed + 1), block).alias("y"))
 
 
-def proven_seed(texts: DataFrame, key: Callable[[Column, int], Column]) -> int:
+def proven_seed(texts: DataFrame, key: Callable[[Column, int], Column], size: int = BLOCK) -> int:
     """The first seed under which no two different blocks of ``texts`` (column ``norm``) have the same key."""
     seed = 0
     while True:
-        contents = texts.select(F.explode(blocks(F.col("norm"))).alias("block")).select(key(F.col("block"), seed).alias("key"), "block")
+        contents = texts.select(F.explode(blocks(F.col("norm"), size)).alias("block")).select(key(F.col("block"), seed).alias("key"), "block")
         distinct = contents.groupBy("key", "block").agg(F.lit(1).alias("one")).select("key.x", "key.y")
         if distinct.groupBy("x", "y").count().filter("count > 1").isEmpty():
             return seed
@@ -109,17 +109,18 @@ def identities(rows: DataFrame) -> DataFrame:
     return whole
 
 
-def exact_duplicates(docs: DataFrame, key: Callable[[Column, int], Column] = block_key) -> DataFrame:
+def exact_duplicates(docs: DataFrame, key: Callable[[Column, int], Column] = block_key, size: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``docs`` needs doc_id and text; other columns are ignored.  Texts are equal if they are after lower-casing A-Z;
     null counts as empty, and empty texts are one group.  Of a group the row with the largest doc_id is kept; rows
     without an id come last, and of rows that repeat the largest id one is kept, so a group always keeps exactly one
-    row.  A text may be of any length.  An empty table gives an empty result.  ``key`` is for tests.
+    row.  A text may be of any length.  An empty table gives an empty result.  ``size`` is the block's
+    length in bytes and changes nothing in the result; ``key`` is for tests.
     """
     texts = docs.select("doc_id", normalised(F.col("text")).alias("norm"))
-    seed = proven_seed(texts, key)
-    keys = F.transform(blocks(F.col("norm")), lambda block: key(block, seed))
+    seed = proven_seed(texts, key, size)
+    keys = F.transform(blocks(F.col("norm"), size), lambda block: key(block, seed))
     rows = materialise(
         texts.select(
             F.monotonically_increasing_id().alias("row"),
