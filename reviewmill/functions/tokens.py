@@ -21,26 +21,46 @@ TOKEN = rf"[{WORD}]{{2,}}"
 
 
 @cache
-def _accent_table() -> tuple[str, str]:
-    """Letters whose compatibility form is one base letter plus marks, next to that base letter.
-    The combining marks themselves come last and have no partner, so they are deleted."""
-    accented, plain, marks = [], [], []
-    for code in range(0x80, min(sys.maxunicode, 0xFFFF)):
+def _accent_tables() -> tuple[str, str, list[tuple[str, str]], str]:
+    """From the compatibility forms of all code points, marks left out: letters that become one other letter, next to
+    that letter, and the ones that vanish last, without a partner; then the letters that become several, the
+    table of each of their places (letters whose form is that long come first), and a pattern that finds them."""
+    single, gone, several = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        if unicodedata.combining(char):
-            marks.append(char)
-            continue
-        base = [c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)]
-        if len(base) == 1 and base[0] != char:
-            accented.append(char)
-            plain.append(base[0])
-    return "".join(accented + marks), "".join(plain)
+        plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if not plain:
+            gone.append(char)
+        elif len(plain) > 1:
+            several[char] = plain
+        elif plain != char:
+            single.append((char, plain))
+    letters = sorted(several, key=lambda c: -len(several[c]))
+    places = [
+        ("".join(letters), "".join(several[c][k] for c in letters if len(several[c]) > k))
+        for k in range(max(map(len, several.values())))
+    ]
+    found = sorted(map(ord, several))
+    pattern = "[" + "".join(rf"\x{{{x:X}}}-\x{{{y:X}}}" for x, y in _runs(found)) + "]"
+    return "".join([c for c, _ in single] + gone), "".join(p for _, p in single), places, pattern
+
+
+def _runs(codes: list[int]) -> list[tuple[int, int]]:
+    """First and last of each run of consecutive numbers."""
+    starts = [c for i, c in enumerate(codes) if not i or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return list(zip(starts, ends))
 
 
 def strip_accents(column: Column) -> Column:
-    """é -> e and so on, one letter for one letter; letters that would turn into several stay."""
-    accented, plain = _accent_table()
-    return F.translate(column, accented, plain)
+    """The compatibility form without combining marks: é becomes e, a ligature its letters, a fraction its digits.
+    Letters that become several are rare; only texts that hold one are taken apart."""
+    accented, plain, places, pattern = _accent_tables()
+    expanded = F.transform(
+        F.split(column, ""), lambda c: F.when(c.rlike(pattern), F.concat(*[F.translate(c, *table) for table in places])).otherwise(c)
+    )
+    whole = F.when(column.rlike(pattern), F.array_join(expanded, "")).otherwise(column)
+    return F.translate(whole, accented, plain)
 
 
 def tokens(column: Column, accents: bool = True) -> Column:

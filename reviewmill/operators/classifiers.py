@@ -19,13 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
+from reviewmill.functions.tokens import explode_counts
 from reviewmill.operators import linear, naive_bayes
 from reviewmill.operators.features import (
     SENTIMENT,
     TextFeatures,
     Vectorizer,
     class_weights,
-    document_terms,
+    counted_terms,
     idf_table,
     prune,
     row_count,
@@ -153,22 +154,22 @@ FITTED: dict[str, Callable[[TrainingSet], DataFrame]] = {
 }
 
 
-def _weights(df: DataFrame, idf: DataFrame, features: TextFeatures, keep: tuple[str, ...], id_column: str) -> DataFrame:
-    """Shuffling the texts by id first puts all terms of a review in one place; the scaling and any
-    sum per review then need no shuffle, and texts are much smaller than their exploded terms."""
-    placed = df.select(*keep, "clean_text").repartition(id_column)
-    return tfidf_weights(document_terms(placed, features, keep), idf, id_column)
+def _weights(counted: DataFrame, idf: DataFrame, keep: tuple[str, ...], id_column: str) -> DataFrame:
+    """Shuffling the reviews by id first puts all terms of a review in one place; the scaling and any
+    sum per review then need no shuffle, and arrays of counts are smaller than their exploded rows."""
+    return tfidf_weights(explode_counts(counted.repartition(id_column), *keep), idf, id_column)
 
 
 def bayes_fit(
     train: DataFrame, label: str = "sentiment_label", features: TextFeatures = SENTIMENT, id_column: str = "review_id"
 ) -> tuple[naive_bayes.NaiveBayes, DataFrame]:
-    """The model and the idf table of its training set."""
+    """The model and the idf table of its training set, whose texts are tokenised once."""
     documents = row_count(train)
-    vocab = materialise(prune(term_statistics(document_terms(train, features, ())), documents, features))
+    keep = (id_column, label)
+    counted = materialise(counted_terms(train, features, keep))
+    vocab = materialise(prune(term_statistics(explode_counts(counted)), documents, features))
     idf = idf_table(vocab, documents)
-    weights = _weights(train, idf, features, (id_column, label), id_column)
-    return naive_bayes.fit(train, weights, vocab, label), idf
+    return naive_bayes.fit(train, _weights(counted, idf, keep, id_column), vocab, label), idf
 
 
 def bayes_predict(
@@ -178,7 +179,7 @@ def bayes_predict(
     features: TextFeatures = SENTIMENT,
     id_column: str = "review_id",
 ) -> DataFrame:
-    weights = _weights(test, idf, features, (id_column,), id_column)
+    weights = _weights(counted_terms(test, features, (id_column,)), idf, (id_column,), id_column)
     return naive_bayes.predict(model, test, weights, id_column)
 
 

@@ -55,10 +55,17 @@ def document_terms(
     df: DataFrame, features: TextFeatures = SENTIMENT, keep: tuple[str, ...] = ("review_id",), text: str = "clean_text"
 ) -> DataFrame:
     """(kept columns, term, tf), one row per distinct term of a review; no shuffle."""
+    return explode_counts(counted_terms(df, features, keep, text), *keep)
+
+
+def counted_terms(
+    df: DataFrame, features: TextFeatures = SENTIMENT, keep: tuple[str, ...] = ("review_id",), text: str = "clean_text"
+) -> DataFrame:
+    """(kept columns, counts): the terms of a review with their counts in one array."""
     terms = with_terms(
         df.select(*keep, F.col(text)), text, "terms", features.ngrams, features.stop_words, features.accents
     ).drop(text)
-    return explode_counts(with_term_counts(terms), *keep)
+    return with_term_counts(terms)
 
 
 def term_statistics(doc_terms: DataFrame) -> DataFrame:
@@ -101,12 +108,12 @@ def idf_table(vocab: DataFrame, documents: Column) -> DataFrame:
 def tfidf_weights(doc_terms: DataFrame, idf: DataFrame, id_column: str = "review_id") -> DataFrame:
     """Adds ``weight`` = tf x idf, scaled to length one per review.
 
-    ``idf`` has at most the vocabulary size of rows, so it is broadcast.  The length of a review
-    needs its rows together; the window finds them in place when ``doc_terms`` was built from a
+    ``idf`` has at most the vocabulary size of rows; the planner broadcasts it while that is small.  The length of a
+    review needs its rows together; the window finds them in place when ``doc_terms`` was built from a
     table that is already partitioned by ``id_column``.
     """
     whole = Window.partitionBy(id_column)
-    raw = doc_terms.join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    raw = doc_terms.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
     return raw.withColumn(
         "weight", F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(whole))
     ).drop("tf", "idf")

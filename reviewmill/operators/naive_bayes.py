@@ -2,7 +2,7 @@
 
 The class scores of a review are sums over its terms, so training is one aggregate by
 (class, term) and scoring one aggregate by review.  The model is a table with one row per term
-and one column per class, at most the vocabulary size, and is broadcast.
+and one column per class, at most the vocabulary size, so the planner can broadcast it.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def predict(model: NaiveBayes, reviews: DataFrame, weights: DataFrame, id_column
     )
     sums = (
         weights.select(id_column, "term", "weight")
-        .join(F.broadcast(gains), "term", "left")
+        .join(gains, "term", "left")
         .groupBy(id_column)
         .agg(
             F.sum("weight").alias("_sum"),

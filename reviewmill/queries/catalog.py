@@ -250,7 +250,7 @@ def doc_term_counts(spark, sf_dir):
     """Unigram counts restricted to the topic vocabulary."""
     texts = t.cleaned_texts(spark, sf_dir)
     vocab = features.vocabulary(texts, features.TOPICS).select("term")
-    return features.document_terms(texts, features.TOPICS).join(F.broadcast(vocab), "term", "left_semi").select(
+    return features.document_terms(texts, features.TOPICS).join(vocab, "term", "left_semi").select(
         "review_id", "term", "tf"
     )
 
