@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import settings
 from reviewmill.operators.labeling import SentimentInfo
 
 
+def rows_by_source(df: DataFrame, *more: Column) -> DataFrame:
+    """dataset_id, rows and further aggregates, in one pass."""
+    return df.groupBy(F.col("source_dataset").alias("dataset_id")).agg(F.count("*").alias("rows"), *more)
+
+
 def data_summary(records: DataFrame, raw: DataFrame, cleaned: DataFrame, info: DataFrame, mode: str) -> DataFrame:
     """Per source record: rows read and rows kept, licence and label source.  Sources without rows
-    stay.  ``info`` has (dataset_id, sentiment_source, sentiment_available)."""
-    raw_rows = raw.groupBy(F.col("source_dataset").alias("dataset_id")).agg(F.count("*").alias("raw_rows"))
-    kept_rows = cleaned.groupBy(F.col("source_dataset").alias("dataset_id")).agg(F.count("*").alias("kept_rows"))
+    stay.  ``raw`` and ``cleaned`` come from ``rows_by_source``; ``info`` has (dataset_id, sentiment_source,
+    sentiment_available)."""
+    raw_rows = raw.select("dataset_id", F.col("rows").alias("raw_rows"))
+    kept_rows = cleaned.select("dataset_id", F.col("rows").alias("kept_rows"))
     return (
         records.join(raw_rows, "dataset_id", "left")
         .join(kept_rows, "dataset_id", "left")

@@ -35,6 +35,7 @@ class Study:
     mode: str = "full"  # "quick" works on a sample and must be asked for
     models: tuple[str, ...] = tuple(settings.SENTIMENT_MODELS)
     file_format: str = "parquet"
+    in_ranges: bool = False  # large, well-formed delimited files: many tasks read each
     fit_rows: int | None = None  # bound on the rows the ablation fits are trained on; none by default
 
     def write(self, df: DataFrame, name: str, *partition_by: str) -> None:
@@ -63,13 +64,13 @@ def run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
 
 
 def _run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
-    datasets, records = load_experiment_datasets(spark, study.manifest, study.base, study.ids)
+    datasets, records = load_experiment_datasets(spark, study.manifest, study.base, study.ids, study.in_ranges)
     audit = audit_records(records, existing_files(spark, study.base))
     failures = audit.filter("severity = 'failure'").limit(5).collect()
     if failures:
         raise ValueError(f"source records are incomplete, for example {[(f.dataset_id, f.problem, f.detail) for f in failures]}")
 
-    # A delimited file is one task's work: read it once, go on with the stored copy.
+    # Delimited files are read once; everything goes on with the stored copy.
     main_raw, weak_raw, aux_raw = (materialise(datasets[k]) for k in ("main", "weak", "auxiliary"))
     if main_raw.isEmpty():
         raise ValueError("the main data set is not available")
@@ -89,7 +90,11 @@ def _run(spark: SparkSession, study: Study) -> dict[str, DataFrame]:
         _label_info(study.ids, has_weak), "dataset_id string, sentiment_source string, sentiment_available boolean"
     )
     results["data_summary"] = summaries.data_summary(
-        records, union_reviews(raw_parts), union_reviews(kept_parts), info, study.mode
+        records,
+        summaries.rows_by_source(union_reviews(raw_parts)),
+        summaries.rows_by_source(union_reviews(kept_parts)),
+        info,
+        study.mode,
     )
     results["label_distribution"] = summaries.label_distribution(main, MAIN_INFO.source)
     results["course_sentiment"] = summaries.course_sentiment(main)

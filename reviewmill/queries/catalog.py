@@ -586,16 +586,17 @@ def error_type_counts(spark, sf_dir):
 @query
 def data_summary(spark, sf_dir):
     raw = normalize.union_reviews(t.all_sources(spark, sf_dir))
-    kept = cleaning.preprocess(raw, ["row_key"])
-    sources = raw.select(F.col("source_dataset").alias("dataset_id")).distinct()
+    # One pass over the raw rows gives the sources, their sizes and whether they have labels.
+    found = materialise(summaries.rows_by_source(raw, (F.count("label_raw") > 0).alias("sentiment_available")))
+    kept = summaries.rows_by_source(cleaning.preprocess(raw, ["row_key"]))
     stated = F.when(F.col("dataset_id") != "benchmark", F.concat(F.col("dataset_id"), F.lit(" licence")))
-    records_table = sources.select(
+    records_table = found.select(
         "dataset_id", F.lit("given table").alias("source_platform"), stated.alias("license"), F.lit(None).cast("string").alias("license_status")
     )
-    info = raw.groupBy(F.col("source_dataset").alias("dataset_id")).agg(
-        (F.count("label_raw") > 0).alias("sentiment_available")
-    ).withColumn("sentiment_source", F.when(F.col("sentiment_available"), "explicit_label").otherwise("none"))
-    return summaries.data_summary(records_table, raw, kept, info, "full")
+    info = found.select("dataset_id", "sentiment_available").withColumn(
+        "sentiment_source", F.when(F.col("sentiment_available"), "explicit_label").otherwise("none")
+    )
+    return summaries.data_summary(records_table, found, kept, info, "full")
 
 
 @query

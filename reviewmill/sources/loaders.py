@@ -99,21 +99,21 @@ def existing_files(spark: SparkSession, base: str) -> DataFrame:
     return listed_files(spark, base).select(F.substring_index("path", root, -1).alias("file"))
 
 
-def load_main(spark: SparkSession, records: DataFrame, base: str, dataset_id: str) -> DataFrame:
+def load_main(spark: SparkSession, records: DataFrame, base: str, dataset_id: str, in_ranges: bool = False) -> DataFrame:
     file = preferred_file(records, dataset_id, settings.MAIN_FILES, existing_files(spark, base))
     if file is None:
         return spark.createDataFrame([], EMPTY)
-    return shape_main(read_delimited(spark, f"{base}/{file}"), dataset_id, file)
+    return shape_main(read_delimited(spark, f"{base}/{file}", in_ranges=in_ranges), dataset_id, file)
 
 
-def load_weak(spark: SparkSession, records: DataFrame, base: str, dataset_id: str) -> DataFrame:
+def load_weak(spark: SparkSession, records: DataFrame, base: str, dataset_id: str, in_ranges: bool = False) -> DataFrame:
     file = preferred_file(records, dataset_id, [settings.WEAK_FILE], existing_files(spark, base))
     if file is None:
         return spark.createDataFrame([], EMPTY)
-    return shape_weak(read_delimited(spark, f"{base}/{file}"), dataset_id, file)
+    return shape_weak(read_delimited(spark, f"{base}/{file}", in_ranges=in_ranges), dataset_id, file)
 
 
-def load_auxiliary(spark: SparkSession, records: DataFrame, base: str, dataset_id: str) -> DataFrame:
+def load_auxiliary(spark: SparkSession, records: DataFrame, base: str, dataset_id: str, in_ranges: bool = False) -> DataFrame:
     files = (
         record_files(record_by_id(records, dataset_id))
         .filter(F.endswith("file_name", F.lit(".csv")))
@@ -121,23 +121,24 @@ def load_auxiliary(spark: SparkSession, records: DataFrame, base: str, dataset_i
         .orderBy("file")
         .collect()  # file names of one manifest record
     )
-    shaped = [shape_auxiliary(read_delimited(spark, f"{base}/{r.file}"), dataset_id, r.file) for r in files]
+    shaped = [shape_auxiliary(read_delimited(spark, f"{base}/{r.file}", in_ranges=in_ranges), dataset_id, r.file) for r in files]
     tables = [t for t in shaped if t is not None]
     return union_reviews(tables) if tables else spark.createDataFrame([], EMPTY)
 
 
 def load_experiment_datasets(
-    spark: SparkSession, manifest: str, base: str, ids: DatasetIds
+    spark: SparkSession, manifest: str, base: str, ids: DatasetIds, in_ranges: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``in_ranges``: see ``files.read_delimited``."""
     records = read_records(spark, manifest)
     return {
-        "main": load_main(spark, records, base, ids.main),
-        "weak": load_weak(spark, records, base, ids.weak),
-        "auxiliary": load_auxiliary(spark, records, base, ids.auxiliary),
+        "main": load_main(spark, records, base, ids.main, in_ranges),
+        "weak": load_weak(spark, records, base, ids.weak, in_ranges),
+        "auxiliary": load_auxiliary(spark, records, base, ids.auxiliary, in_ranges),
     }, records
 
 
-def load_public_reviews(spark: SparkSession, manifest: str, base: str) -> DataFrame:
+def load_public_reviews(spark: SparkSession, manifest: str, base: str, in_ranges: bool = False) -> DataFrame:
     """Every registered CSV file, normalised and stacked."""
     files = (
         read_records(spark, manifest)
@@ -151,7 +152,7 @@ def load_public_reviews(spark: SparkSession, manifest: str, base: str) -> DataFr
     return union_reviews(
         [
             normalize_reviews(
-                read_delimited(spark, f"{base}/{f.file}"), f.dataset_id or "unknown", f.source_platform or "unknown", f.file
+                read_delimited(spark, f"{base}/{f.file}", in_ranges=in_ranges), f.dataset_id or "unknown", f.source_platform or "unknown", f.file
             )
             for f in files
         ]

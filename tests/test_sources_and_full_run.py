@@ -107,6 +107,8 @@ def test_loaders(spark, base):
     assert data["main"].count() == 402
     first = data["main"].filter("source_row_id = 0").first()
     assert first.label_source == settings.MAIN_LABEL_SOURCE and "\n" in first.review_text
+    ranged, _ = loaders.load_experiment_datasets(spark, str(base / "manifest.json"), str(base), IDS, in_ranges=True)
+    assert all(sorted(map(str, ranged[name].collect())) == sorted(map(str, data[name].collect())) for name in data)
     assert data["weak"].count() == 200 and set(data["weak"].columns) >= {"rating", "review_date"}
     aux = data["auxiliary"]
     assert aux.count() == 120 and aux.agg(F.sum(f"`{settings.FEEDBACK_FLAGS[1]}`")).first()[0] == 0
