@@ -135,18 +135,26 @@ def random_forest(rows: int, trees: int = 40, depth: int = 30):
     )
 
 
-def fit_predict(data: TrainingSet, estimator) -> DataFrame:
-    """Fit on the training vectors; test rows with ``predicted_label``.  A fit that used all its iterations without
-    converging is reported as a warning."""
+def fitted(data: TrainingSet, estimator):
+    """The model on the training vectors.  A fit that used all its iterations without converging is reported as a
+    warning."""
     model = estimator.setFeaturesCol("features").setLabelCol("label").fit(data.train)
     if isinstance(model, LogisticRegressionModel) and model.hasSummary and model.summary.totalIterations >= estimator.getMaxIter():
         warnings.warn(f"stopped after {estimator.getMaxIter()} iterations without converging", stacklevel=2)
-    scored = model.transform(data.test)
-    return scored.withColumn("predicted_label", decode(F.col("prediction"), data.classes)).drop(
+    return model
+
+
+def predicted(data: TrainingSet, model) -> DataFrame:
+    """Test rows with ``predicted_label``."""
+    return model.transform(data.test).withColumn("predicted_label", decode(F.col("prediction"), data.classes)).drop(
         "features", "rawPrediction", "probability", "prediction"
     )
 
 
+def fit_predict(data: TrainingSet, estimator) -> DataFrame:
+    return predicted(data, fitted(data, estimator))
+
+
 FITTED: dict[str, Callable[[TrainingSet], DataFrame]] = {
     settings.LOGISTIC_NAME: lambda data: fit_predict(data, logistic(data.rows)),
     settings.SVM_NAME: lambda data: svm_predictions(data, linear.fit_squared_hinge(svm_problem(data))),

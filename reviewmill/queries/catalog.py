@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -367,6 +368,18 @@ def _at_optimum(problem, model, slope):
     return max(gaps) < 0.02
 
 
+def _softmax_at_optimum(data, model):
+    """The same for one softmax over all classes."""
+    scored = model.transform(data.train).select(
+        "label", "class_weight", vector_to_array("rawPrediction").alias("z"), vector_to_array("probability").alias("p")
+    )
+    intercepts, norm = model.interceptVector.toArray(), float((model.coefficientMatrix.toArray() ** 2).sum())
+    pulls = [F.col("class_weight") * (F.get("p", k) - (F.col("label") == k).cast("double")) for k in range(len(intercepts))]
+    along = sum((pull * (F.get("z", k) - float(intercepts[k])) for k, pull in enumerate(pulls)), F.lit(0.0))
+    found = scored.agg(F.sum(along).alias("along"), *[F.sum(pull).alias(f"level_{k}") for k, pull in enumerate(pulls)]).first()
+    return max(abs(found["along"] + norm), *[abs(found[f"level_{k}"]) for k in range(len(pulls))]) / norm < 0.02
+
+
 def _flag_facts(result, split, in_training):
     """Rows, and per flag its positives among the scored rows; whether any flag was found, and whether the fit is the
     optimum of its loss."""
@@ -384,7 +397,12 @@ def _baseline(spark, sf_dir, model):
 
 @query
 def train_logreg(spark, sf_dir):
-    return _baseline(spark, sf_dir, settings.LOGISTIC_NAME)
+    train, test = _train_test(spark, sf_dir)
+    data = classifiers.prepare(train, test)
+    model = classifiers.fitted(data, classifiers.logistic(data.rows))
+    predictions = materialise(classifiers.predicted(data, model).withColumn("model", F.lit(settings.LOGISTIC_NAME)))
+    facts = _facts(metrics.sentiment_metrics(predictions).first(), train.unionByName(test), predictions, "sentiment_label")
+    return facts.withColumn("at_optimum", F.lit(_softmax_at_optimum(data, model)))
 
 
 @query

@@ -349,7 +349,7 @@ union all select 'kaggle_145m_weak_label_sample', 'run', cast(n - ceil(cast(0.2
 union all select '3class_course_holdout_split', 'run', n - test, test, true from held"""
 
 ORACLES: dict[str, str] = {
-    "train_logreg": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Logistic Regression", "experiment", "sentiment_label")),
+    "train_logreg": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Logistic Regression", "experiment", "sentiment_label", ", true as at_optimum")),
     "train_linear_svm": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Linear SVM", "experiment", "sentiment_label", ", true as at_optimum")),
     "train_random_forest": with_(*BASE, EXPERIMENT, fit_facts("TF-IDF + Random Forest", "experiment", "sentiment_label")),
     "train_embedding_classifier": with_(
