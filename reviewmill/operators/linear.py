@@ -4,7 +4,7 @@ The models are the columns of one weight matrix (terms + 1 rows, the last for th
 once and returns the loss and the gradient, or the curvature along a direction, of all models that are not
 done.  The losses are sums over the weighted rows plus half the squared norm of the weights:
 
-- flags: logistic loss, the intercept free; one limited-memory quasi-Newton run over the whole matrix;
+- flags: logistic loss, the intercept free; limited-memory quasi-Newton steps, each flag with its own memory, in step;
 - classes: squared hinge loss, the intercept a weight like the others; trust-region Newton steps whose inner systems
   are solved by preconditioned conjugate gradients, each class with its own region, all in step.
 """
@@ -93,6 +93,18 @@ def logistic_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np
     return found[weights.size :] + 0.5 * (counted**2).sum(0), found[: weights.size].reshape(shape) + counted
 
 
+def logistic_curvature(problem: Problem, weights: np.ndarray) -> np.ndarray:
+    """The diagonal of the curvature of the logistic loss."""
+    shape, (targets, shares, width) = weights.shape, problem.names()
+
+    def statistics(batch: pa.RecordBatch) -> np.ndarray:
+        rows, y, c = Sparse(batch), numbers(batch, targets), numbers(batch, shares)
+        z = y * margins(rows, weights)
+        return backwards(rows, c * np.exp(-np.logaddexp(0, z) - np.logaddexp(0, -z)), width, 2)
+
+    return summed(problem.chosen(), weights.size, statistics, problem.tasks).reshape(shape) + problem.penalised(np.ones(shape))
+
+
 def hinge_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Squared hinge loss per model, gradient, and the diagonal of the curvature."""
     shape, (targets, shares, width) = weights.shape, problem.names()
@@ -123,55 +135,63 @@ def curvature_pass(problem: Problem, weights: np.ndarray, directions: np.ndarray
     return found.reshape(weights.shape) + problem.penalised(directions)
 
 
+def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One product per model."""
+    return np.einsum("wm,wm->m", a, b)
+
+
 def fit_logistic(problem: Problem, tolerance: float = 1e-4, passes: int = 200) -> Linear:
-    """Limited-memory quasi-Newton over the matrix of all models at once.  Done when every model's gradient is below
-    ``tolerance`` times its gradient at zero."""
+    """Limited-memory quasi-Newton steps of all models side by side, each with its own memory and step length.  Done when
+    every model's gradient is below ``tolerance`` times its gradient at zero."""
     problem = replace(problem, tasks=tasks_of(problem.rows))
     weights = np.zeros((problem.width + 1, len(problem.targets)))
     loss, gradient = logistic_pass(problem, weights)
     at_zero = np.linalg.norm(gradient, axis=0)
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
-    used = 1
-    while (np.linalg.norm(gradient, axis=0) > tolerance * at_zero).any() and used < passes:
-        direction = -two_loops(gradient, steps)
-        if (direction * gradient).sum() >= 0:
-            direction, steps = -gradient, []
-        length = 1.0 if steps else min(1.0, 1.0 / np.abs(gradient).sum())
+    steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    # Directions are measured by the curvature at zero, so common and rare terms move alike.
+    first = 1 / np.maximum(logistic_curvature(problem, weights), 1e-12)
+    scale, used = np.ones(len(loss)), 2
+    live = at_zero > 0
+    while live.any() and used < passes:
+        direction = -two_loops(gradient, steps, scale * first) * live
+        slope = dots(direction, gradient)
+        if (slope[live] >= 0).any():
+            steps, direction = [], -gradient * first * live
+            slope = dots(direction, gradient)
+        length, open_models = np.ones(len(live)), live.copy()
         while True:
             there = weights + length * direction
             new_loss, new_gradient = logistic_pass(problem, there)
             used += 1
-            if new_loss.sum() <= loss.sum() + 1e-4 * length * (direction * gradient).sum() or used >= passes or length < 1e-10:
+            open_models &= (new_loss > loss + 1e-4 * length * slope) & (length > 1e-10)
+            if not open_models.any() or used >= passes:
                 break
-            length /= 2
+            length = np.where(open_models, length / 2, length)
         s, y = there - weights, new_gradient - gradient
-        if (s * y).sum() > 1e-12 * (y * y).sum():
-            steps = [*steps[1 - MEMORY :], (s, y)]
+        product, square = dots(s, y), dots(y * first, y)
+        counts = product > 1e-12 * np.maximum(square, 1e-300)
+        steps = [*steps[1 - MEMORY :], (s, y, np.where(counts, 1 / np.where(counts, product, 1), 0))]
+        scale = np.where(counts, product / np.where(counts, square, 1), scale)
         weights, loss, gradient = there, new_loss, new_gradient
+        live = live & (np.linalg.norm(gradient, axis=0) > tolerance * at_zero)
     norms = np.linalg.norm(gradient, axis=0)
     return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()))
 
 
-def two_loops(gradient: np.ndarray, steps: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The inverse curvature that the last steps show, times the gradient."""
+def two_loops(gradient: np.ndarray, steps: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]], scale: np.ndarray) -> np.ndarray:
+    """Per model the inverse curvature that its last steps show, on top of ``scale``, times the gradient.  A step comes with the inverse of
+    its product with the gradient's change, 0 for a model that it tells nothing about."""
     q, shares = gradient.copy(), []
-    for s, y in reversed(steps):
-        share = (s * q).sum() / (s * y).sum()
+    for s, y, inverse in reversed(steps):
+        share = dots(s, q) * inverse
         shares.append(share)
         q -= share * y
-    if steps:
-        s, y = steps[-1]
-        q *= (s * y).sum() / (y * y).sum()
-    for (s, y), share in zip(steps, reversed(shares), strict=True):
-        q += s * (share - (y * q).sum() / (s * y).sum())
+    q *= scale
+    for (s, y, inverse), share in zip(steps, reversed(shares), strict=True):
+        q += s * (share - dots(y, q) * inverse)
     return q
 
 
-def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One product per model."""
-    return np.einsum("wm,wm->m", a, b)
-
-
 def inner_steps(curved: Callable[[np.ndarray, np.ndarray], np.ndarray], gradient, diagonal, radius, live):
     """Per model a step that lowers the quadratic model inside its region (measured by ``diagonal``), the model's decrease
     and the passes used.  Conjugate gradients; a model that reaches its border or a small rest stands still."""
