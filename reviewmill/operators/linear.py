@@ -140,7 +140,7 @@ def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("wm,wm->m", a, b)
 
 
-def fit_logistic(problem: Problem, tolerance: float = 1e-4, passes: int = 200) -> Linear:
+def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -> Linear:
     """Limited-memory quasi-Newton steps of all models side by side, each with its own memory and step length.  Done when
     every model's gradient is below ``tolerance`` times its gradient at zero."""
     problem = replace(problem, tasks=tasks_of(problem.rows))
