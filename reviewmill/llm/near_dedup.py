@@ -14,6 +14,10 @@
    small lists, and in large ones each member with the list's centre, the member with the fewest shingles of its own;
    links make components; (b) the members outside a list's largest component with that component; (c) with each
    other.  Pairs within a component need no comparison, so no link is lost.
+   In (b) and (c) the shingles of the texts that are left are told apart by their uses there: two sets share at most
+   the smaller number of common shingles (more than ``RARE`` uses) and the rare ones that both have.  A pair whose
+   common shingles alone fit is compared; any other pair needs a rare one and comes from the rare shingles' lists,
+   which have ``RARE`` members at most.  The bound holds for every pair, so it drops no link.
 4. The union of two sketches estimates the similarity and drops pairs far below the threshold.
 5. The full sets of the pairs that are left are compared exactly.
 6. Components by large-star and small-star steps over the links.
@@ -41,6 +45,8 @@ K = 64
 FEWEST = 26
 # Lists with so many members outside their largest component compare all of them at once.
 SMALL_LIST = 16
+# Uses up to which a shingle of the texts left over has a list of its own.
+RARE = 64
 # Sizes are compared in steps of five percent.
 SIZE_STEP = 1.05
 # Members of a list that one task joins with the list's pivots.
@@ -136,8 +142,8 @@ def postings(classes: DataFrame) -> DataFrame:
     )
 
 
-def alone(texts: DataFrame) -> DataFrame:
-    """node, alone: shingles that no other candidate has.  0 (no row) for an id with several texts."""
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """node, shingle: the full sets of the texts, a row each."""
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -149,11 +155,47 @@ def alone(texts: DataFrame) -> DataFrame:
                 names=["node", "shingle"],
             )
 
-    once = texts.mapInArrow(exploded, "node bigint, shingle bigint").groupBy("shingle").agg(
-        F.count("*").alias("uses"), F.min("node").alias("node")
+    return texts.mapInArrow(exploded, "node bigint, shingle bigint")
+
+
+def repeated_ids(texts: DataFrame) -> DataFrame:
+    """node: ids with several texts, whose shingles can't be told from each other's."""
+    return texts.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("node"))
+
+
+def alone(texts: DataFrame) -> DataFrame:
+    """node, alone: shingles that no other candidate has.  0 (no row) for an id with several texts."""
+    once = shingle_rows(texts).groupBy("shingle").agg(F.count("*").alias("uses"), F.min("node").alias("node"))
+    own = once.filter("uses = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    return own.join(repeated_ids(texts), "node", "left_anti")
+
+
+def rare_shingles(texts: DataFrame) -> DataFrame:
+    """node, shingle: those that at least two and at most ``RARE`` of the texts have."""
+    rows = materialise(shingle_rows(texts))
+    uses = rows.groupBy("shingle").agg(F.count("*").alias("uses")).filter(F.col("uses").between(2, RARE))
+    return rows.join(uses, "shingle").select("node", "shingle")
+
+
+def common_sizes(nodes: DataFrame, rare: DataFrame, texts: DataFrame) -> DataFrame:
+    """Adds ``common``: shingles in ``core`` that are not rare, or ``core`` for an id with several texts."""
+    counts = rare.groupBy("node").agg(F.count("*").alias("rare")).join(repeated_ids(texts), "node", "left_anti")
+    return nodes.join(counts, "node", "left").withColumn("common", F.col("core") - F.coalesce("rare", F.lit(0))).drop("rare")
+
+
+def rare_pairs(nodes: DataFrame, rare: DataFrame) -> DataFrame:
+    """Distinct pairs a < b that share rare shingles, enough of them for similarity 0.75 if all common ones of the smaller
+    set are shared too.  ``nodes``: node, n, common, comp, apart; pairs of different components, one of them apart."""
+    held = rare.join(nodes.select("node", "n", "common", "comp", "apart"), "node")
+    other = held.select(
+        "shingle", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("common").alias("most"),
+        F.col("comp").alias("other"), F.col("apart").alias("also"),
     )
-    repeated = texts.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("node"))
-    return once.filter("uses = 1").groupBy("node").agg(F.count("*").alias("alone")).join(repeated, "node", "left_anti")
+    # A pair of two texts that are both apart is met once.
+    met = held.filter("apart").join(other, "shingle").filter("comp != other and (not also or node < pivot)")
+    shared = met.groupBy("node", "pivot", "n", "m", "common", "most").agg(F.count("*").alias("shared"))
+    enough = shared.filter(7 * (F.least("common", "most") + F.col("shared")) >= 3 * (F.col("n") + F.col("m")))
+    return enough.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def open_lists(members: DataFrame) -> DataFrame:
@@ -333,17 +375,35 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     live = current().filter(F.col("all_members") > SMALL_LIST)
     apart = materialise(outside(live))
+    if apart.isEmpty():
+        return comps
     against = apart.filter("top is not null").select("node", "n", "core", "comp", "top").distinct()
     sizes = comps.groupBy("comp").agg(F.count("*").alias("all_members")).withColumnRenamed("comp", "top")
     # Every member, also the smallest id, for which components() has no row.
-    within = (
+    within = materialise(
         lists.select("node", "n", "core").distinct().join(comps, "node", "left")
         .withColumn("comp", F.coalesce("comp", "node")).withColumn("top", F.col("comp"))
         .join(against.select("top").distinct(), "top", "left_semi").join(sizes, "top")
     )
-    comps = joined(fitting_pairs(within, against.join(sizes, "top"), "top"))
 
-    again = apart.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    involved = apart.select("node", "n", "core", "comp", F.lit(True).alias("apart")).unionByName(
+        within.select("node", "n", "core", "comp", F.lit(False).alias("apart"))
+    )
+    involved = materialise(involved.groupBy("node", "n", "core", "comp").agg(F.max("apart").alias("apart")))
+    left_over = texts.join(involved.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rare = materialise(rare_shingles(left_over))
+    bounds = materialise(common_sizes(involved, rare, left_over))
+
+    def bounded(members: DataFrame) -> DataFrame:
+        """With the common shingles in place of ``core``."""
+        common = bounds.select("node", "n", F.col("common").alias("_common")).distinct()
+        return members.join(common, ["node", "n"]).withColumn("core", F.col("_common")).drop("_common")
+
+    comps = joined(
+        fitting_pairs(bounded(within), bounded(against.join(sizes, "top")), "top").union(rare_pairs(bounds, rare)).distinct()
+    )
+
+    again = bounded(apart).drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     again = with_own_lists(again)
     return joined(fitting_pairs(again, again, "value", first_only=True))
 

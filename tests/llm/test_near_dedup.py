@@ -110,3 +110,46 @@ def test_an_outsider_that_is_like_the_smallest_id_alone(spark):
     assert set(expected.values()) == {(expected[i][0], smallest) for i in expected}
     assert plain_components(rows[1:])[500][1] == 500
     assert found(frame(spark, [(i, text, "en", "a", 0) for i, text in rows])) == expected
+
+
+def test_a_large_group_with_rare_and_common_edits(spark):
+    """1,200 copies of one text: edits of their own, edits that a few copies share and edits that hundreds share, so that
+    links need common shingles, rare ones or both; every pair is compared on the other side."""
+    draw = random.Random(23)
+    base = prose(7, 140).split()
+    few = [(draw.randrange(140), f"few{i}") for i in range(60)]
+    many = [(draw.randrange(140), f"many{i}") for i in range(3)]
+    rows = []
+    for i in range(1200):
+        words = list(base)
+        for place, word in draw.sample(few, draw.randrange(6)) + draw.sample(many, draw.randrange(3)):
+            words[place] = word
+        rows.append((i, edited(words, draw.randrange(4), draw)))
+    expected = plain_components(rows)
+    groups = {component for _, component in expected.values()}
+    assert 10 < len(groups) < 900
+    assert found(frame(spark, [(i, text, "en", "a", 0) for i, text in rows])) == expected
+
+
+def test_candidates_by_common_and_rare_shingles_hold_every_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "RARE", 3)
+    draw = random.Random(5)
+    base = prose(8, 60).split()
+    texts = [(i, edited(base, draw.randrange(4), draw)) for i in range(40)]
+    texts += [(100 + i, edited(texts[i][1].split(), 1, draw)) for i in range(20)]
+    docs = frame(spark, [(i, text, "en", "a", 0) for i, text in texts])
+    sets = {i: shingles(text) for i, text in texts}
+    nodes = spark.createDataFrame([(i, len(each), len(each), i, True) for i, each in sets.items()], "node long, n long, core long, comp long, apart boolean")
+    two = docs.select("doc_id", "text")
+    rare = near_dedup.rare_shingles(two)
+    bounds = near_dedup.common_sizes(nodes, rare, two)
+    common = {r.node: r.common for r in bounds.collect()}
+    pairs = {(r.a, r.b) for r in near_dedup.rare_pairs(bounds, rare).collect()}
+    links = 0
+    for a in sets:
+        for b in sets:
+            shared = len(sets[a] & sets[b])
+            if a < b and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+                links += 1
+                assert (a, b) in pairs or 7 * min(common[a], common[b]) >= 3 * (len(sets[a]) + len(sets[b]))
+    assert links > 20 and pairs
