@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -89,6 +90,59 @@ def test_structures_are_confirmed_before_they_are_reported(text, kinds):
     assert all(0 <= start < end <= len(text) + 2 for start, end, _ in spans)
 
 
+def wrap(run, size=64):
+    return "\n".join(run[i : i + size] for i in range(0, len(run), size))
+
+
+def armour(label, body, headers=""):
+    return f"-----BEGIN {label}-----\n{headers}{body}\n-----END {label}-----"
+
+
+OID = der(0x30, der(0x06, bytes.fromhex("2a864886f70d010101")) + der(0x05, b""))
+DSA = der(0x30, b"".join(der(0x02, n) for n in [b"\0", b"\1" * 65, b"\2" * 20, b"\3" * 64, b"\4" * 64, b"\5" * 20]))
+CURVE = der(0x30, der(0x02, b"\1") + der(0x04, b"\6" * 32))
+PBES2 = der(0x30, der(0x06, bytes.fromhex("2a864886f70d01050d")) + der(0x30, der(0x05, b"")))
+HASHED = der(0x30, der(0x06, bytes.fromhex("608648016503040201")) + der(0x05, b""))
+PRIVATE = field(b"ssh-ed25519") + field(b"\7" * 32)
+OPENSSH = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(PRIVATE)
+LOCKED = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+
+
+def pkcs8(inner):
+    return der(0x30, der(0x02, b"\0") + OID + der(0x04, inner))
+
+
+@pytest.mark.parametrize(
+    ("true", "broken"),
+    [
+        (encode(pkcs8(RSA)), encode(pkcs8(b"plain prose in place of a key, and enough of it"))),
+        (encode(pkcs8(CURVE)), encode(pkcs8(CURVE + b"\0"))),
+        (encode(pkcs8(der(0x04, b"\7" * 32))), encode(pkcs8(der(0x04, b"\7" * 8) + b"\7" * 32))),
+        (encode(DSA), encode(der(0x30, b"".join(der(0x02, bytes([n]) * 40) for n in range(1, 7))))),
+        (encode(der(0x30, PBES2 + der(0x04, b"\x9a" * 64))), encode(der(0x30, HASHED + der(0x04, b"\x9a" * 64)))),
+        (encode(der(0x30, OID + der(0x03, b"\0" + der(0x30, der(0x02, b"\1" * 65) + der(0x02, b"\1\0\1"))))), encode(der(0x30, OID + der(0x03, b"\0" + b"\7" * 64)))),
+        (encode(OPENSSH + field(b"abcdabcd" + b"\7" * 56)), encode(OPENSSH + field(b"abcdabce" + b"\7" * 56))),
+        (encode(OPENSSH + field(b"abcdabcd" + b"\7" * 56)), encode(b"openssh-key-v1\0abc" + b"d" * 30)),
+        (armour("RSA PRIVATE KEY", wrap(encode(b"\x9a" * 128)), LOCKED), armour("RSA PRIVATE KEY", wrap(encode(b"\x9a" * 128)), "Proc-Type: 4,CLEAR\n\n")),
+        (armour("PRIVATE KEY", wrap(encode(RSA)), "Comment: one: two\n\n"), armour("PRIVATE KEY", wrap(encode(RSA[:-3])), "Comment: one: two\n\n")),
+        (f"a line\n{wrap(encode(RSA))}\nand", f"a line\n{wrap(encode(RSA[:-3]))}\nand"),
+        (wrap(encode(RSA), 76).replace("\n", "\r\n    "), wrap(encode(RSA), 76).replace("\n", " ")),
+        ("f" * 50 + "\n" + wrap(encode(RSA)) + "\nword", "f" * 50 + "\n" + wrap(encode(RSA[:-3])) + "\nword"),
+    ],
+)
+def test_forms_of_keys_true_and_broken(true, broken):
+    [(start, end, kind)] = [span for span in secret_scan.confirmed_spans(f"é\n{true}\n") if span[2] != "hex"]
+    assert kind in secret_scan.KINDS and 2 <= start < end <= len(true) + 2
+    assert secret_scan.confirmed_spans(f"é\n{broken}\n") == []
+
+
+@pytest.mark.parametrize("text", ["-----BEGIN A-----" + " " * 300_000, "-----BEGIN A-----\na: b\n" * 20_000, ("A" * 64 + "\n") * 10_000, "A" * 500_000])
+def test_long_candidates_take_linear_time(text):
+    began = time.process_time()
+    assert secret_scan.confirmed_spans(text) == []
+    assert time.process_time() - began < 5
+
+
 def test_awkward_documents_in_scan(awkward, awkward_rows, nothing):
     got = secret_scan.scan(awkward).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in awkward_rows)
