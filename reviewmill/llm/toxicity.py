@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,9 @@ LEAST_PRECISION = 0.8
 MOST_TERMS = 300
 WINDOW = 5
 WORD = re.compile(r"[^\W_]+")
+# Quotation marks and the end of a line.
+MARKS = '"“”«»„\n'
+ANY_MARK = re.compile(f"[{MARKS}]")
 END = "$"
 
 
@@ -146,13 +150,31 @@ class Automaton:
         return found
 
 
-def quoted(text: str, start: int, end: int) -> bool:
-    """Whether the span stands between quotation marks on its line."""
-    before = text[text.rfind("\n", 0, start) + 1 : start]
-    stop = text.find("\n", end)
-    after = text[end : stop if stop >= 0 else len(text)]
-    pairs = any(before.rfind(a) > before.rfind(b) and b in after for a, b in ("“”", "«»", "„“"))
-    return pairs or (before.count('"') % 2 == 1 and '"' in after)
+class Quotations:
+    """The quotation marks and line breaks of a text, found once, so that a long line with many hits takes linear time."""
+
+    def __init__(self, text: str):
+        self.size = len(text)
+        self.places: dict[str, list[int]] = {mark: [] for mark in MARKS}
+        for m in ANY_MARK.finditer(text):
+            self.places[m[0]].append(m.start())
+
+    def last(self, mark: str, first: int, end: int) -> int:
+        """Place of the last one from first to end, -1 if there is none."""
+        at = bisect_left(self.places[mark], end) - 1
+        return self.places[mark][at] if at >= 0 and self.places[mark][at] >= first else -1
+
+    def count(self, mark: str, first: int, end: int) -> int:
+        return bisect_left(self.places[mark], end) - bisect_left(self.places[mark], first)
+
+    def hold(self, start: int, end: int) -> bool:
+        """Whether the span stands between quotation marks on its line."""
+        line = self.last("\n", 0, start) + 1
+        breaks = self.places["\n"]
+        at = bisect_left(breaks, end)
+        stop = breaks[at] if at < len(breaks) else self.size
+        pairs = any(self.last(a, line, start) > self.last(b, line, start) and self.count(b, end, stop) for a, b in ("“”", "«»", "„“"))
+        return pairs or (self.count('"', line, start) % 2 == 1 and self.count('"', end, stop) > 0)
 
 
 @dataclass
@@ -188,7 +210,7 @@ class Lexicon:
         hits = [word for word in WORD.findall(text) if (known[word] if word in known else hit(word))]
         if not hits:
             return [0.0, 0.0, 0.0, 0.0], []
-        words = list(WORD.finditer(text))
+        words, quotations = list(WORD.finditer(text)), Quotations(text)
         strongest = total = reported = misspelled = 0.0
         for i, word in enumerate(words):
             found = hit(word[0])
@@ -197,7 +219,7 @@ class Lexicon:
             edits, term = found
             around = {w[0] for w in words[max(0, i - WINDOW) : i]} | {w[0] for w in words[i + 1 : i + 1 + WINDOW]}
             weight = self.terms[term].weight * 0.8**edits
-            if quoted(text, *word.span()) or around & REPORTING:
+            if quotations.hold(*word.span()) or around & REPORTING:
                 weight, reported = weight * 0.2, reported + 1
             elif around & ADDRESS:
                 weight *= 1.2

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -99,3 +100,31 @@ def test_awkward_documents(spark, awkward, nothing):
     assert kept.columns == awkward.columns and sorted(kept.collect(), key=str) == sorted(awkward.collect(), key=str)
     bad = frame(spark, [(1, "you stupid worthless idiot", "en", "a", 0), (2, "a stuipd idea", "en", "a", 0), (3, "all fine", "en", "a", 0)])
     assert [r.doc_id for r in toxicity.without_toxic(bad, none).collect()] == [3]
+
+
+def plain_quoted(text, start, end):
+    before = text[text.rfind("\n", 0, start) + 1 : start]
+    after = text[end:].split("\n")[0]
+    pairs = any(before.rfind(a) > before.rfind(b) and b in after for a, b in ("“”", "«»", "„“"))
+    return pairs or (before.count('"') % 2 == 1 and '"' in after)
+
+
+def test_quotations_agree_with_a_plain_search():
+    draw = random.Random(3)
+    seen = set()
+    for _ in range(300):
+        text = "".join(draw.choice('ab “”«»„"\n') for _ in range(draw.randrange(1, 40)))
+        quotations = toxicity.Quotations(text)
+        for start in range(len(text)):
+            end = draw.randrange(start, len(text)) + 1
+            assert quotations.hold(start, end) == plain_quoted(text, start, end)
+            seen.add(quotations.hold(start, end))
+    assert seen == {True, False}
+
+
+def test_one_long_line_takes_linear_time():
+    lexicon = toxicity.Lexicon([toxicity.Term("idiot$", 1.0)])
+    text = 'such an "idiot" here, ' * 100_000
+    began = time.process_time()
+    found, _ = lexicon.features(text)
+    assert found[2] > 0 and time.process_time() - began < 20
