@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import settings
 from reviewmill.functions.tokens import explode_counts, with_term_counts, with_terms
+from reviewmill.operators.corpus_terms import corpus_terms
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,11 @@ def term_statistics(doc_terms: DataFrame) -> DataFrame:
     return doc_terms.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
 
 
+def corpus_statistics(df: DataFrame, features: TextFeatures = SENTIMENT, text: str = "clean_text") -> DataFrame:
+    """:func:`term_statistics` of whole texts, counted in the tasks without a row per review and term."""
+    return corpus_terms(df, text, features.ngrams, features.stop_words, features.accents)
+
+
 def prune(statistics: DataFrame, documents: Column, features: TextFeatures = SENTIMENT) -> DataFrame:
     """The most frequent terms among those in at least ``min_df`` reviews and at most the share
     ``max_df`` of all reviews; ties by term.  The result has at most ``features.size`` rows."""
@@ -93,8 +99,7 @@ def vocabulary(
     df: DataFrame, features: TextFeatures = SENTIMENT, text: str = "clean_text"
 ) -> DataFrame:
     """(term, cf, df) of the terms kept; computed from whole texts."""
-    statistics = term_statistics(document_terms(df, features, (), text))
-    return prune(statistics, row_count(df), features)
+    return prune(corpus_statistics(df, features, text), row_count(df), features)
 
 
 def smooth_idf(df: Column, documents: Column) -> Column:
@@ -155,7 +160,7 @@ class Vectorizer:
         output: str = "features",
     ) -> Vectorizer:
         documents = df.count()
-        statistics = term_statistics(document_terms(df, features, (), text))
+        statistics = corpus_statistics(df, features, text)
         rows = prune(statistics, F.lit(documents), features).select("term", "df").collect()
         idf = [math.log((1 + documents) / (1 + row.df)) + 1 for row in rows]
         return cls(features, [row.term for row in rows], idf, weighting, output)

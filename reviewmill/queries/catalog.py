@@ -233,12 +233,12 @@ def balanced_sample(spark, sf_dir):
 
 @query
 def token_counts(spark, sf_dir):
-    return features.term_statistics(features.document_terms(t.cleaned_texts(spark, sf_dir), UNIGRAMS, ()))
+    return features.corpus_statistics(t.cleaned_texts(spark, sf_dir), UNIGRAMS)
 
 
 @query
 def bigram_counts(spark, sf_dir):
-    return features.term_statistics(features.document_terms(t.cleaned_texts(spark, sf_dir), BIGRAMS, ()))
+    return features.corpus_statistics(t.cleaned_texts(spark, sf_dir), BIGRAMS)
 
 
 @query
@@ -270,7 +270,7 @@ def tfidf_weights(spark, sf_dir):
 @query
 def strip_accents_terms(spark, sf_dir):
     plain = features.TextFeatures(ngrams=(1, 1), accents=False)
-    return features.term_statistics(features.document_terms(t.cleaned_texts(spark, sf_dir), plain, ()))
+    return features.corpus_statistics(t.cleaned_texts(spark, sf_dir), plain)
 
 
 @query
