@@ -40,8 +40,7 @@ def _accent_tables() -> tuple[str, str, list[tuple[str, str]], str]:
         ("".join(letters), "".join(several[c][k] for c in letters if len(several[c]) > k))
         for k in range(max(map(len, several.values())))
     ]
-    found = sorted(map(ord, several))
-    pattern = "[" + "".join(rf"\x{{{x:X}}}-\x{{{y:X}}}" for x, y in _runs(found)) + "]"
+    pattern = _class_by_blocks(_runs(sorted(map(ord, several))))
     return "".join([c for c, _ in single] + gone), "".join(p for _, p in single), places, pattern
 
 
@@ -52,15 +51,28 @@ def _runs(codes: list[int]) -> list[tuple[int, int]]:
     return list(zip(starts, ends))
 
 
+def _class_by_blocks(runs: list[tuple[int, int]], size: int = 16) -> str:
+    """A pattern for one letter out of the runs.  The engine asks the parts of a class one after the other, so each block
+    of runs stands behind its own first and last letter, and all of them behind a check that leaves out ASCII."""
+    def span(x: int, y: int) -> str:
+        return rf"\x{{{x:X}}}-\x{{{y:X}}}"
+
+    blocks = [runs[i : i + size] for i in range(0, len(runs), size)]
+    parts = (f"[{span(block[0][0], block[-1][1])}&&[{''.join(span(x, y) for x, y in block)}]]" for block in blocks)
+    return rf"[\x{{80}}-\x{{10FFFF}}&&[{''.join(parts)}]]"
+
+
 def strip_accents(column: Column) -> Column:
     """The compatibility form without combining marks: é becomes e, a ligature its letters, a fraction its digits.
-    Letters that become several are rare; only texts that hold one are taken apart."""
+    ASCII texts stay as they are.  Letters that become several are rare; a text that holds some is cut at them."""
     accented, plain, places, pattern = _accent_tables()
-    expanded = F.transform(
-        F.split(column, ""), lambda c: F.when(c.rlike(pattern), F.concat(*[F.translate(c, *table) for table in places])).otherwise(c)
+    letters = F.transform(
+        F.regexp_extract_all(column, F.lit(pattern), F.lit(0)), lambda c: F.concat(*[F.translate(c, *table) for table in places])
     )
+    # One piece more than letters; the last has no partner.
+    expanded = F.zip_with(F.split(column, pattern, -1), letters, lambda piece, letter: F.concat(piece, F.coalesce(letter, F.lit(""))))
     whole = F.when(column.rlike(pattern), F.array_join(expanded, "")).otherwise(column)
-    return F.translate(whole, accented, plain)
+    return F.when(column.rlike(r"[^\x00-\x7F]"), F.translate(whole, accented, plain)).otherwise(column)
 
 
 def tokens(column: Column, accents: bool = True) -> Column:
