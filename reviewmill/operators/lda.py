@@ -24,6 +24,8 @@ from reviewmill.operators.passes import Sparse, sliced, summed, tasks_of
 SETTLED = 1e-3
 INNER = 100
 TINY = 1e-100
+#: Terms of all reviews that are worked on together.
+CELLS = 16_384
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -48,29 +50,43 @@ def expected_log(parameters: np.ndarray) -> np.ndarray:
 
 
 def topic_numbers(counts: Sparse, topics: np.ndarray, prior: float) -> np.ndarray:
-    """Per review its Dirichlet parameters (rows, k) for the given term weights of the topics (terms, k)."""
-    k = topics.shape[1]
-    out = np.full((counts.rows, k), prior)
-    # Only reviews with terms have anything to find; the settled ones leave.
-    live, place = np.unique(counts.row, return_inverse=True)
-    if not len(live):
-        return out
-    weight, value = topics[counts.column], counts.value
-    gamma = np.ones((len(live), k))
+    """Per review its Dirichlet parameters (rows, k) for the given term weights of the topics (terms, k).  Reviews of about
+    the same length are worked on together, as many as stay in the processor's cache over the inner steps."""
+    out = np.full((counts.rows, topics.shape[1]), prior)
+    # Only reviews with terms have anything to find.
+    live, first, sizes = np.unique(counts.row, return_index=True, return_counts=True)
+    order = np.argsort(sizes, kind="stable")
+    start = 0
+    while start < len(order):
+        # Padded to the longest, the last: the first of the following reviews with which the block would be too large.
+        room = np.arange(1, len(order) - start + 1) * sizes[order[start:]] > CELLS
+        end = start + (max(1, int(room.argmax())) if room.any() else len(room))
+        block = order[start:end]
+        column = np.arange(sizes[block[-1]])
+        known = column < sizes[block][:, None]
+        entry = np.where(known, first[block][:, None] + column, 0)
+        out[live[block]] = settled(topics[counts.column[entry]], np.where(known, counts.value[entry], 0.0), prior)
+        start = end
+    return out
+
+
+def settled(weight: np.ndarray, value: np.ndarray, prior: float) -> np.ndarray:
+    """The parameters of some reviews from the topic weights (reviews, terms, k) and counts (reviews, terms; 0 where a
+    review has no more terms); reviews that have settled leave."""
+    out = np.ones((len(weight), weight.shape[2]))
+    gamma, live, going = out.copy(), np.arange(len(weight)), np.ones(len(weight), dtype=bool)
     for _ in range(INNER):
         shares = np.exp(expected_log(gamma))
-        norm = np.einsum("ek,ek->e", shares[place], weight) + TINY
-        starts = np.flatnonzero(np.diff(place, prepend=-1))
-        found = prior + shares * np.add.reduceat(weight * (value / norm)[:, None], starts)
-        moving = np.abs(found - gamma).mean(1) >= SETTLED
+        norm = np.matmul(weight, shares[:, :, None])[:, :, 0] + TINY
+        found = prior + shares * np.matmul((value / norm)[:, None, :], weight)[:, 0]
+        out[live[going]] = found[going]
+        # A settled review stays as it is, however long its neighbours move.
+        going &= np.abs(found - gamma).mean(1) >= SETTLED
         gamma = found
-        out[live] = gamma
-        if not moving.any():
+        if not going.any():
             break
-        if moving.mean() < 0.7:
-            entries = moving[place]
-            weight, value, live, gamma = weight[entries], value[entries], live[moving], gamma[moving]
-            place = (np.cumsum(moving) - 1)[place[entries]]
+        if going.mean() < 0.7:
+            weight, value, live, gamma, going = weight[going], value[going], live[going], gamma[going], going[going]
     return out
 
 
