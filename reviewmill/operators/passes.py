@@ -34,20 +34,25 @@ class Sparse:
     def __init__(self, batch: pa.RecordBatch):
         indices, values = batch.column("indices"), batch.column("values")
         sizes = np.asarray(indices.value_lengths().fill_null(0), dtype=np.int64)
-        self.rows = len(sizes)
+        self.rows, self.sizes = len(sizes), sizes
         self.row = np.repeat(np.arange(self.rows), sizes)
         self.column = np.asarray(indices.flatten(), dtype=np.int64)
         self.value = np.asarray(values.flatten(), dtype=np.float64)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        """Rows times a matrix (columns, models)."""
-        each = [np.bincount(self.row, self.value * weights[self.column, m], self.rows) for m in range(weights.shape[1])]
-        return np.stack(each, 1)
+        """Rows times a matrix (columns, models).  A row's entries stand together, so its sum is that of a run."""
+        out = np.zeros((self.rows, weights.shape[1]))
+        filled = np.flatnonzero(self.sizes)
+        if len(filled):
+            starts = (np.cumsum(self.sizes) - self.sizes)[filled]
+            for m, model in enumerate(np.ascontiguousarray(weights.T)):
+                out[filled, m] = np.add.reduceat(self.value * model.take(self.column), starts)
+        return out
 
     def transposed_times(self, numbers: np.ndarray, width: int, power: int = 1) -> np.ndarray:
         """Columns (entries to a power) times a matrix (rows, models)."""
-        value = self.value**power
-        each = [np.bincount(self.column, value * numbers[self.row, m], width) for m in range(numbers.shape[1])]
+        value = self.value if power == 1 else self.value**power
+        each = [np.bincount(self.column, value * np.repeat(model, self.sizes), width) for model in np.ascontiguousarray(numbers.T)]
         return np.stack(each, 1)
 
 
