@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import settings
 from reviewmill.functions.tokens import explode_counts
-from reviewmill.operators import linear, naive_bayes
+from reviewmill.operators import forest, linear, naive_bayes
 from reviewmill.operators.features import (
     SENTIMENT,
     TextFeatures,
@@ -121,18 +120,15 @@ def svm_predictions(data: TrainingSet, model: linear.Linear) -> DataFrame:
     return scored.withColumn("predicted_label", decode(linear.largest(F.col("margins")), data.classes)).drop("margins")
 
 
-def random_forest(rows: int, trees: int = 40, depth: int = 30):
-    """Spark allows a depth of 30 at most."""
-    return RandomForestClassifier(
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        weightCol="class_weight",
-        seed=settings.SEED,
-        maxMemoryInMB=1024,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-    )
+def fit_forest(data: TrainingSet, trees: int = 40, depth: int = 30) -> forest.Forest:
+    return forest.fit(data.train, len(data.classes), data.width, trees, depth, settings.SEED)
+
+
+def forest_predictions(data: TrainingSet, model: forest.Forest) -> DataFrame:
+    """Test rows with ``predicted_label``: the class with most votes, the first on ties."""
+    rows = materialise(data.test.withColumn("_row", F.monotonically_increasing_id()))
+    found = rows.drop("features").join(forest.voted(rows, model, "_row"), "_row")
+    return found.withColumn("predicted_label", decode(linear.largest(F.col("votes")), data.classes)).drop("_row", "votes")
 
 
 def fitted(data: TrainingSet, estimator):
@@ -158,7 +154,7 @@ def fit_predict(data: TrainingSet, estimator) -> DataFrame:
 FITTED: dict[str, Callable[[TrainingSet], DataFrame]] = {
     settings.LOGISTIC_NAME: lambda data: fit_predict(data, logistic(data.rows)),
     settings.SVM_NAME: lambda data: svm_predictions(data, linear.fit_squared_hinge(svm_problem(data))),
-    settings.FOREST_NAME: lambda data: fit_predict(data, random_forest(data.rows)),
+    settings.FOREST_NAME: lambda data: forest_predictions(data, fit_forest(data)),
 }
 
 
