@@ -36,7 +36,7 @@ from reviewmill.operators.guards import FEW_CLASSES, sentiment_not_run
 from reviewmill.operators.labeling import SentimentInfo
 from reviewmill.operators.labeling import feature_columns
 from reviewmill.operators.metrics import sentiment_metrics
-from reviewmill.operators.passes import as_rows
+from reviewmill.operators.passes import as_rows, tasks_of
 from reviewmill.operators.sampling import balanced_sample
 from reviewmill.session import in_parallel, materialise
 
@@ -75,6 +75,17 @@ def balanced_weights(train: DataFrame, label: str) -> tuple[dict[str, float], in
 MOST_CLASSES = 1000
 
 
+#: Parts per core that texts are dealt into before they become vectors.
+DEALT = 4
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows in parts of equal size.  Stored tables have few files of uneven size, and a file's rows can't be shared among
+    tasks; the work per text costs much more than moving it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(DEALT * cores, tasks_of(df)))
+
+
 def prepare(
     train: DataFrame,
     test: DataFrame,
@@ -82,8 +93,9 @@ def prepare(
     features: TextFeatures = SENTIMENT,
     keep: Sequence[str] = ("review_id",),
 ) -> TrainingSet:
-    """Fit the features on ``train`` once and write both vector tables once; every estimator below
+    """Fit the features on ``train`` once and write both vector tables once, in even parts; every estimator below
     reads them."""
+    train, test = dealt(train), dealt(test)
     # Only the text reaches the features, never the rating that a label may come from.
     vectorizer = Vectorizer.fit(train.select(*feature_columns(train)), features)
     weights, rows = balanced_weights(train, label)

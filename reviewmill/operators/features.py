@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -165,17 +166,21 @@ class Vectorizer:
         idf = [math.log((1 + documents) / (1 + row.df)) + 1 for row in rows]
         return cls(features, [row.term for row in rows], idf, weighting, output)
 
+    @cached_property
+    def steps(self) -> list:
+        """From terms to vectors.  Handing the vocabulary over term by term takes seconds, so it is done once."""
+        counts = self.output if self.weighting == "counts" else "_counts"
+        counted = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol=counts)
+        if self.weighting == "counts":
+            return [counted]
+        weighted = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted")
+        return [counted, weighted, Normalizer(inputCol="_weighted", outputCol=self.output, p=2.0)]
+
     def transform(self, df: DataFrame, text: str = "clean_text") -> DataFrame:
         if not self.terms:
             raise ValueError("the vocabulary is empty: no term survives the frequency limits")
         f = self.features
-        counts = self.output if self.weighting == "counts" else "_counts"
-        vectors = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol=counts).transform(
-            with_terms(df, text, "_terms", f.ngrams, f.stop_words, f.accents)
-        )
-        if self.weighting != "counts":
-            vectors = ElementwiseProduct(
-                scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted"
-            ).transform(vectors)
-            vectors = Normalizer(inputCol="_weighted", outputCol=self.output, p=2.0).transform(vectors)
+        vectors = with_terms(df, text, "_terms", f.ngrams, f.stop_words, f.accents)
+        for step in self.steps:
+            vectors = step.transform(vectors)
         return vectors.drop("_terms", "_counts", "_weighted")
