@@ -146,25 +146,35 @@ def settled(cells: np.ndarray, row: np.ndarray, node: np.ndarray, feature: np.nd
         node[going] = left[at] + (cells[row[going], feature[at]] > cut[at])
 
 
-def best_split(counts: np.ndarray, total: np.ndarray, shares: np.ndarray) -> tuple[int, int, np.ndarray] | None:
-    """Of counts (terms, bins, classes) the term and last left bin with the largest Gini gain, and the counts on the
-    left; None if nothing gains.  ``shares``: weight of a row per class."""
+def best_split(
+    cell: np.ndarray, label: np.ndarray, number: np.ndarray, total: np.ndarray, shares: np.ndarray
+) -> tuple[int, int, np.ndarray] | None:
+    """Of counts per cell (term * BINS + bin, bins above 0) and class the term and last left bin with the largest Gini
+    gain, and the counts on the left; None if nothing gains.  ``shares``: weight of a row per class."""
+    if not len(cell):
+        return None
+    classes = len(total)
+    cell, place = np.unique(cell, return_inverse=True)
+    counts = np.bincount(place * classes + label, number, len(cell) * classes).reshape(-1, classes)
+    term = cell // BINS
+    # A term's rows in a bin or a higher one, from the sums of this and all later cells.
+    later = np.zeros((len(cell) + 1, classes))
+    later[:-1] = np.cumsum(counts[::-1], 0)[::-1]
+    above = later[:-1] - later[np.searchsorted(term, term, "right")]
+    below = total - above
 
     def rest(numbers: np.ndarray) -> np.ndarray:
         weight = numbers * shares
         whole = weight.sum(-1)
-        return whole - (weight**2).sum(-1) / np.maximum(whole, 1e-300)
+        return whole - (weight * weight).sum(-1) / np.maximum(whole, 1e-300)
 
-    counts[:, 0] = total - counts[:, 1:].sum(1)
-    below = np.cumsum(counts, 1)[:, :-1]
-    above = total - below
     gain = rest(total) - rest(below) - rest(above)
-    gain[(below.sum(-1) <= 0) | (above.sum(-1) <= 0)] = 0
-    best = int(np.argmax(gain)) if gain.size else -1
-    if best < 0 or gain.flat[best] <= 1e-12 * (total * shares).sum():
+    gain[below.sum(-1) <= 0] = 0
+    best = int(np.argmax(gain))
+    if gain[best] <= 1e-12 * (total * shares).sum():
         return None
-    term, cut = divmod(best, BINS - 1)
-    return term, cut, below[term, cut]
+    cut = cell[best - 1] % BINS if best and term[best - 1] == term[best] else 0
+    return int(term[best]), int(cut), below[best]
 
 
 def votes(total: np.ndarray, shares: np.ndarray) -> np.ndarray:
@@ -190,8 +200,8 @@ def grown(
     cells: np.ndarray, known: np.ndarray, label: np.ndarray, count: np.ndarray, shares: np.ndarray, depth: int,
     draw: np.random.Generator, drawn: int,
 ) -> Tree:
-    """A node finished in memory.  ``cells``: bins of its rows, one column per term that they have; ``known``: the column
-    of every term, or -1."""
+    """A node finished in memory.  ``cells``: a row of bins per term that its rows have, so that a term's bins stand together;
+    ``known``: the place of every term, or -1."""
     classes, width = len(shares), len(known)
     feature, cut, left, found = [-1], [0], [0], [None]
     todo = [(0, np.arange(len(label)), depth)]
@@ -202,18 +212,14 @@ def grown(
         if levels > 0 and np.count_nonzero(total) > 1:
             terms = drawn_terms(draw, width, drawn)
             terms = terms[known[terms] >= 0]
-            looked = cells[rows[:, None], known[terms]]
-            row, term = np.nonzero(looked)
-            used, term = np.unique(term, return_inverse=True)
-            key = (term * BINS + looked[row, used[term]]) * classes + label[rows[row]] if len(used) else np.zeros(0, dtype=np.int64)
-            counts = np.bincount(key, count[rows[row]], len(used) * BINS * classes).reshape(len(used), BINS, classes)
-            split = best_split(counts, total, shares)
+            looked = cells[known[terms][:, None], rows]
+            term, row = np.nonzero(looked)
+            split = best_split(term * BINS + looked[term, row], label[rows[row]], count[rows[row]], total, shares)
         if split is None:
             found[node] = votes(total, shares)
             continue
-        column = used[split[0]]
-        feature[node], cut[node], left[node] = int(terms[column]), split[1], len(feature)
-        right = looked[:, column] > split[1]
+        feature[node], cut[node], left[node] = int(terms[split[0]]), split[1], len(feature)
+        right = looked[split[0]] > split[1]
         for part in (rows[~right], rows[right]):
             todo.append((len(feature), part, levels - 1))
             feature.append(-1), cut.append(0), left.append(0), found.append(None)
@@ -288,9 +294,9 @@ def splits(rows: DataFrame, top: Tree, trees: int, slots: np.ndarray, terms: np.
 
     def best(table: pa.Table) -> pa.Table:
         key, number = np.asarray(table["key"]), np.asarray(table["n"])
-        counts = np.bincount(key, number, each + classes)
-        total = counts[each:]
-        found = best_split(counts[:each].reshape(drawn, BINS, classes), total, shares) or (-1, 0, total)
+        inside = key < each
+        total = np.bincount(key[~inside] - each, number[~inside], classes)
+        found = best_split(key[inside] // classes, key[inside] % classes, number[inside], total, shares) or (-1, 0, total)
         row = {"node": table["node"][0].as_py(), "term": found[0], "cut": found[1], "below": found[2], "total": total}
         types = pa.schema([("node", pa.int32()), ("term", pa.int32()), ("cut", pa.int32()), ("below", pa.list_(pa.float64())), ("total", pa.list_(pa.float64()))])
         return pa.Table.from_pydict({k: [v] for k, v in row.items()}, types)
@@ -330,11 +336,12 @@ def finished_parts(sent: DataFrame, levels: np.ndarray, shares: np.ndarray, widt
         table = table.combine_chunks()
         node = table["node"][0].as_py()
         places, sizes = flat(table["places"].chunk(0), place_type(width))
-        terms, column = np.unique(places, return_inverse=True)
-        cells = np.zeros((len(sizes), len(terms)), dtype=np.uint8)
-        cells[np.repeat(np.arange(len(sizes)), sizes), column] = flat(table["bins"].chunk(0), np.uint8)[0]
         known = np.full(width, -1, dtype=np.int32)
+        known[places] = 0
+        terms = np.flatnonzero(known == 0)
         known[terms] = np.arange(len(terms))
+        cells = np.zeros((len(terms), len(sizes)), dtype=np.uint8)
+        cells[known[places], np.repeat(np.arange(len(sizes)), sizes)] = flat(table["bins"].chunk(0), np.uint8)[0]
         draw = np.random.default_rng((seed, 1, node))
         tree = grown(cells, known, np.asarray(table["label"]), np.asarray(table["n"]), shares, int(levels[node]), draw, drawn)
         row = {"node": [node], "feature": [tree.feature.tobytes()], "cut": [tree.cut.tobytes()], "left": [tree.left.tobytes()], "votes": [tree.votes.tobytes()]}

@@ -68,7 +68,7 @@ def test_a_part_agrees_with_plain_splitting():
     cells = (draw.integers(0, 6, (60, 12)) * (draw.random((60, 12)) < 0.4)).astype(np.uint8)
     label, count, shares = draw.integers(0, 3, 60), draw.integers(1, 4, 60), np.array([0.7, 1.0, 1.9])
     for depth in (0, 1, 4):
-        tree = forest.grown(cells, np.arange(12), label, count, shares, depth, draw, 12)
+        tree = forest.grown(np.ascontiguousarray(cells.T), np.arange(12), label, count, shares, depth, draw, 12)
         node = forest.settled(cells, np.arange(60), np.zeros(60, dtype=np.int64), tree.feature, tree.cut, tree.left)
         assert np.array_equal(tree.votes[node], plain_tree(cells, label, count, shares, depth))
 
