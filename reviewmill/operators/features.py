@@ -8,6 +8,7 @@ and needs no shuffle at all once the vocabulary is known.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from reviewmill import settings
 from reviewmill.functions.tokens import explode_counts, with_term_counts, with_terms
 from reviewmill.operators.corpus_terms import corpus_terms
+from reviewmill.operators.term_rows import term_rows
 
 
 @dataclass(frozen=True)
@@ -176,9 +178,20 @@ class Vectorizer:
         weighted = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted")
         return [counted, weighted, Normalizer(inputCol="_weighted", outputCol=self.output, p=2.0)]
 
-    def transform(self, df: DataFrame, text: str = "clean_text") -> DataFrame:
+    def _check(self) -> None:
         if not self.terms:
             raise ValueError("the vocabulary is empty: no term survives the frequency limits")
+
+    def rows(self, df: DataFrame, keep: Sequence[str], text: str = "clean_text") -> DataFrame:
+        """The vectors that :meth:`transform` makes, as packed rows whose scale is ``idf`` (see ``passes.Sparse``)."""
+        self._check()
+        if self.weighting != "tfidf":
+            raise ValueError(f"packed rows are weighted by tf-idf, not by {self.weighting}")
+        f = self.features
+        return term_rows(df, keep, self.terms, self.idf, text, f.stop_words, f.accents)
+
+    def transform(self, df: DataFrame, text: str = "clean_text") -> DataFrame:
+        self._check()
         f = self.features
         vectors = with_terms(df, text, "_terms", f.ngrams, f.stop_words, f.accents)
         for step in self.steps:

@@ -20,7 +20,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.passes import Sparse, as_rows, sliced, summed, tasks_of
+from reviewmill.operators.passes import Sparse, as_bytes, as_rows, flat, place_type, sliced, summed, tasks_of
 from reviewmill.session import materialise
 
 #: Bins per term, the first for 0, and buckets of the values' logarithms that the others are made of.
@@ -76,27 +76,6 @@ def fit_bins(rows: DataFrame, width: int) -> Bins:
     return Bins(np.minimum(table, BINS - 1).astype(np.uint8), low, high)
 
 
-def place_type(width: int) -> type:
-    return np.uint16 if width <= 1 << 16 else np.uint32
-
-
-def flat(column: pa.BinaryArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a column of bytes one after the other, and how many each row has."""
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    size, data = np.dtype(kind).itemsize, column.buffers()[2]
-    if data is None or ends[-1] == ends[0]:
-        return np.zeros(0, kind), np.zeros(len(column), dtype=np.int64)
-    return np.frombuffer(data, kind, (ends[-1] - ends[0]) // size, int(ends[0])), np.diff(ends).astype(np.int64) // size
-
-
-def as_bytes(numbers: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
-    """The reverse of :func:`flat`."""
-    ends = np.concatenate([[0], np.cumsum(sizes)]) * numbers.itemsize
-    return pa.BinaryArray.from_buffers(
-        pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(numbers.tobytes())]
-    )
-
-
 def binned(rows: DataFrame, bins: Bins, width: int, trees: int, seed: int, keep: str) -> DataFrame:
     """(``keep``, places, bins, bag) with the entries of a row as bytes and how often each tree drew it (0 trees: not)."""
     kind, low, high, table = place_type(width), bins.low, bins.high, bins.table

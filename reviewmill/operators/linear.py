@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewmill.operators.passes import Sparse, numbers, sliced, summed, tasks_of
+from reviewmill.operators.passes import Sparse, gathered, numbers, sliced, summed, tasks_of
 
-MEMORY = 10
+#: Steps that a model remembers; each takes two numbers per weight on the driver (60: 120 MB for 25,000 terms and 5 models).
+MEMORY = 60
 #: Trust region: shares of the predicted decrease at which a step is taken and the region shrinks or grows.
 TAKEN, POOR, GOOD = 1e-4, 0.25, 0.75
 INNER_STEPS = 15
@@ -41,6 +42,13 @@ class Linear:
     at_zero: np.ndarray
     passes: int
     converged: bool
+    #: Of packed rows (see ``passes.Sparse``): the value of a count per term.
+    scale: np.ndarray | None = None
+
+
+def entry_columns(rows: DataFrame) -> list[str]:
+    """The columns with the entries of the rows."""
+    return [c for c in ("indices", "values", "length") if c in rows.columns]
 
 
 @dataclass(frozen=True)
@@ -53,13 +61,19 @@ class Problem:
     width: int
     free_intercept: bool
     tasks: int | None = None
+    #: Of packed rows (see ``passes.Sparse``): the value of a count per term.
+    scale: np.ndarray | None = None
 
     def chosen(self) -> DataFrame:
-        return self.rows.select("indices", "values", *dict.fromkeys([*self.targets, *self.weights]))
+        return self.rows.select(*entry_columns(self.rows), *dict.fromkeys([*self.targets, *self.weights]))
 
-    def names(self) -> tuple[tuple[str, ...], tuple[str, ...], int]:
+    def names(self) -> tuple[tuple[str, ...], tuple[str, ...], int, np.ndarray | None]:
         """What the tasks need; they can't take the table with them."""
-        return self.targets, self.weights, self.width
+        return self.targets, self.weights, self.width, self.scale
+
+    def only(self, models: np.ndarray) -> Problem:
+        """The problem of some models (their places); the tasks read and multiply only what these need."""
+        return replace(self, targets=tuple(self.targets[m] for m in models), weights=tuple(self.weights[m] for m in models))
 
     def penalised(self, weights: np.ndarray) -> np.ndarray:
         """The weights that the penalty counts."""
@@ -80,10 +94,10 @@ def backwards(rows: Sparse, residuals: np.ndarray, width: int, power: int = 1) -
 
 def logistic_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Loss per model and gradient."""
-    shape, (targets, shares, width) = weights.shape, problem.names()
+    shape, (targets, shares, width, scale) = weights.shape, problem.names()
 
     def statistics(batch: pa.RecordBatch) -> np.ndarray:
-        rows, y, c = Sparse(batch), numbers(batch, targets), numbers(batch, shares)
+        rows, y, c = Sparse(batch, scale), numbers(batch, targets), numbers(batch, shares)
         z = y * margins(rows, weights)
         residuals = -c * y * np.exp(-np.logaddexp(0, z))
         return np.concatenate([backwards(rows, residuals, width).ravel(), (c * np.logaddexp(0, -z)).sum(0)])
@@ -95,10 +109,10 @@ def logistic_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np
 
 def logistic_curvature(problem: Problem, weights: np.ndarray) -> np.ndarray:
     """The diagonal of the curvature of the logistic loss."""
-    shape, (targets, shares, width) = weights.shape, problem.names()
+    shape, (targets, shares, width, scale) = weights.shape, problem.names()
 
     def statistics(batch: pa.RecordBatch) -> np.ndarray:
-        rows, y, c = Sparse(batch), numbers(batch, targets), numbers(batch, shares)
+        rows, y, c = Sparse(batch, scale), numbers(batch, targets), numbers(batch, shares)
         z = y * margins(rows, weights)
         return backwards(rows, c * np.exp(-np.logaddexp(0, z) - np.logaddexp(0, -z)), width, 2)
 
@@ -107,10 +121,10 @@ def logistic_curvature(problem: Problem, weights: np.ndarray) -> np.ndarray:
 
 def hinge_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Squared hinge loss per model, gradient, and the diagonal of the curvature."""
-    shape, (targets, shares, width) = weights.shape, problem.names()
+    shape, (targets, shares, width, scale) = weights.shape, problem.names()
 
     def statistics(batch: pa.RecordBatch) -> np.ndarray:
-        rows, y, c = Sparse(batch), numbers(batch, targets), numbers(batch, shares)
+        rows, y, c = Sparse(batch, scale), numbers(batch, targets), numbers(batch, shares)
         short = np.maximum(0, 1 - y * margins(rows, weights))
         first = backwards(rows, -2 * c * y * short, width)
         second = backwards(rows, 2 * c * (short > 0), width, 2)
@@ -124,10 +138,10 @@ def hinge_pass(problem: Problem, weights: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def curvature_pass(problem: Problem, weights: np.ndarray, directions: np.ndarray) -> np.ndarray:
     """The curvature of the squared hinge loss at ``weights`` along one direction per model."""
-    targets, shares, width = problem.names()
+    targets, shares, width, scale = problem.names()
 
     def statistics(batch: pa.RecordBatch) -> np.ndarray:
-        rows, y, c = Sparse(batch), numbers(batch, targets), numbers(batch, shares)
+        rows, y, c = Sparse(batch, scale), numbers(batch, targets), numbers(batch, shares)
         active = y * margins(rows, weights) < 1
         return backwards(rows, 2 * c * active * margins(rows, directions), width)
 
@@ -142,8 +156,10 @@ def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -> Linear:
     """Limited-memory quasi-Newton steps of all models side by side, each with its own memory and step length.  Done when
-    every model's gradient is below ``tolerance`` times its gradient at zero."""
-    problem = replace(problem, tasks=tasks_of(problem.rows))
+    every model's gradient is below ``tolerance`` times its gradient at zero; a model that is done, or has found its step
+    length, takes no part in the passes for the others."""
+    rows = gathered(problem.rows)
+    problem = replace(problem, rows=rows, tasks=tasks_of(rows))
     weights = np.zeros((problem.width + 1, len(problem.targets)))
     loss, gradient = logistic_pass(problem, weights)
     at_zero = np.linalg.norm(gradient, axis=0)
@@ -159,14 +175,16 @@ def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -
             steps, direction = [], -gradient * first * live
             slope = dots(direction, gradient)
         length, open_models = np.ones(len(live)), live.copy()
+        new_loss, new_gradient = loss.copy(), gradient.copy()
         while True:
             there = weights + length * direction
-            new_loss, new_gradient = logistic_pass(problem, there)
+            some = np.flatnonzero(open_models)
+            new_loss[some], new_gradient[:, some] = logistic_pass(problem.only(some), there[:, some])
             used += 1
             open_models &= (new_loss > loss + 1e-4 * length * slope) & (length > 1e-10)
             if not open_models.any() or used >= passes:
                 break
-            length = np.where(open_models, length / 2, length)
+            length = np.where(open_models, shortened(length, slope, new_loss - loss), length)
         s, y = there - weights, new_gradient - gradient
         product, square = dots(s, y), dots(y * first, y)
         counts = product > 1e-12 * np.maximum(square, 1e-300)
@@ -175,7 +193,14 @@ def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -
         weights, loss, gradient = there, new_loss, new_gradient
         live = live & (np.linalg.norm(gradient, axis=0) > tolerance * at_zero)
     norms = np.linalg.norm(gradient, axis=0)
-    return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()))
+    return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()), problem.scale)
+
+
+def shortened(length: np.ndarray, slope: np.ndarray, rise: np.ndarray) -> np.ndarray:
+    """Per model the lowest point of the parabola through the loss here, its slope, and the loss ``length`` ahead; at
+    most half and at least a tenth of ``length``."""
+    bend = rise - slope * length
+    return np.clip(-0.5 * slope * length**2 / np.where(bend > 0, bend, 1), 0.1 * length, 0.5 * length)
 
 
 def two_loops(gradient: np.ndarray, steps: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]], scale: np.ndarray) -> np.ndarray:
@@ -251,21 +276,23 @@ def fit_squared_hinge(problem: Problem, tolerance: float = 1e-3, passes: int = 3
         # A region without size can't improve any more: rounding.
         live = live & (np.linalg.norm(gradient, axis=0) > tolerance * at_zero) & (radius > 1e-12)
     norms = np.linalg.norm(gradient, axis=0)
-    return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()))
+    return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()), problem.scale)
 
 
 def scored(rows: DataFrame, model: Linear, name: str = "margins") -> DataFrame:
-    """``rows`` (with indices and values, which go) plus an array of margins, one per model."""
-    weights = model.weights
-    kept = [c for c in rows.columns if c not in ("indices", "values")]
+    """``rows`` (with the columns of their entries, which go) plus an array of margins, one per model."""
+    weights, scale = model.weights, model.scale
+    entries = entry_columns(rows)
+    kept = [c for c in rows.columns if c not in entries]
     schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField(name, T.ArrayType(T.DoubleType()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            found = pa.array(list(margins(Sparse(batch), weights)), pa.list_(pa.float64()))
+            found = margins(Sparse(batch, scale), weights)
+            found = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), found], names=[*kept, name])
 
-    return rows.select(*kept, "indices", "values").mapInArrow(task, schema)
+    return rows.select(*kept, *entries).mapInArrow(task, schema)
 
 
 def largest(margins: Column) -> Column:

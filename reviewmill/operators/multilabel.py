@@ -6,6 +6,7 @@ import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,6 @@ from reviewmill.operators.features import MULTILABEL, TextFeatures, Vectorizer,
 from reviewmill.operators.guards import CONSTANT_FLAGS, NO_FLAGS, multilabel_not_run
 from reviewmill.operators.metrics import multilabel_metrics, per_label_report
 from reviewmill.operators.labeling import feature_columns
-from reviewmill.operators.passes import as_rows
 from reviewmill.session import materialise
 
 
@@ -54,16 +54,19 @@ def label_set(flags: Sequence[str], prefix: str = "") -> Column:
     return F.concat_ws("; ", *[F.when(F.col(f"`{prefix}{f}`") == 1, F.lit(f)) for f in flags])
 
 
-def flag_problem(vectors: DataFrame, flags: Sequence[str], totals, rows: int, width: int) -> linear.Problem:
-    """One balanced logistic loss per flag, all on the same rows; penalty half the squared norm without the intercepts."""
+def flag_problem(train: DataFrame, vectorizer: Vectorizer, flags: Sequence[str], totals, rows: int) -> linear.Problem:
+    """One balanced logistic loss per flag, all on the same packed rows, which are stored as the passes read them;
+    penalty half the squared norm without the intercepts."""
     sides, weights = [], []
     for i, flag in enumerate(flags):
         has = F.col(f"`{flag}`") == 1
         sides.append(F.when(has, 1.0).otherwise(-1.0).alias(f"side_{i}"))
         weights.append(F.when(has, rows / (2.0 * totals[flag])).otherwise(rows / (2.0 * (rows - totals[flag]))).alias(f"weight_{i}"))
-    table = as_rows(vectors, [f"`{flag}`" for flag in flags]).select("indices", "values", *sides, *weights)
+    vectors = vectorizer.rows(train, flags)
+    table = materialise(vectors.select(*linear.entry_columns(vectors), *sides, *weights))
     each = range(len(flags))
-    return linear.Problem(table, tuple(f"side_{i}" for i in each), tuple(f"weight_{i}" for i in each), width, free_intercept=True)
+    sides, weights = tuple(f"side_{i}" for i in each), tuple(f"weight_{i}" for i in each)
+    return linear.Problem(table, sides, weights, len(vectorizer.terms), free_intercept=True, scale=np.array(vectorizer.idf))
 
 
 def train_multilabel(
@@ -90,12 +93,11 @@ def train_multilabel(
     test = test.select(id_column, "clean_text", *[f"`true_{f}`" for f in available])
     if active:
         vectorizer = Vectorizer.fit(train.select(*feature_columns(train)), features)
-        vectors = materialise(vectorizer.transform(train).select("features", *[f"`{f}`" for f in active]))
-        problem = flag_problem(vectors, active, totals, rows, len(vectorizer.terms))
+        problem = flag_problem(train, vectorizer, active, totals, rows)
         model = linear.fit_logistic(problem)
         if not model.converged:
             warnings.warn(f"stopped after {model.passes} passes without converging", stacklevel=2)
-        scored = linear.scored(as_rows(vectorizer.transform(test), [f"`{c}`" for c in test.columns]), model)
+        scored = linear.scored(vectorizer.rows(test, test.columns), model)
         found = [(F.get("margins", i) > 0).cast("int").alias(f"pred_{flag}") for i, flag in enumerate(active)]
         test = scored.select("*", *found).drop("margins")
     constants = {f: int(totals[f] / rows >= 0.5) if rows else 0 for f in available if f not in active}

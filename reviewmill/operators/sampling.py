@@ -24,6 +24,9 @@ from reviewmill import settings
 PREFIX = 4  # hex digits, 65,536 buckets
 
 
+#: Strata whose borders (some 100 bytes each) are handed to every task.
+FEW_STRATA = 100_000
+
 PLACES = ("source_file", "source_row_id", "row_key")
 
 
@@ -184,8 +187,8 @@ def split_rows(
 ) -> DataFrame:
     """Add ``split`` (train, val, test).  Falls back to an unstratified split when a class is too small, and to an
     unstratified cut between train and val when the test rows leave a class too small for that.  ``df`` is scanned
-    three times, twice for (label, key) only: pass a stored table.  Any number of strata: their borders are a
-    table that the planner joins as it sees fit."""
+    three times, twice for (label, key) only: pass a stored table.  Any number of strata: the borders of
+    few are broadcast, those of many are a table that the planner joins as it sees fit."""
     if stratify is not None and not stratify_check(df, stratify).first()["usable"]:
         stratify = None
     # A null label is a class of its own; the prefix keeps it apart from any real value.
@@ -207,7 +210,8 @@ def split_rows(
         .agg(F.first("border"))
         .withColumnsRenamed({"test": "_test", "val": "_val"})
     )
-    placed = keyed.join(limits, "_class", "left")
+    # Left to itself the planner may have started to shuffle the wide table by class, all rows of one in one task.
+    placed = keyed.join(F.broadcast(limits) if left["classes"] <= FEW_STRATA else limits, "_class", "left")
     in_test = F.coalesce(F.col("_own") <= F.col("_test"), F.lit(False))
     in_val = F.col("_own") <= F.col("_val")
     if not by_class and left["val"]:

@@ -287,7 +287,8 @@ def _experiment_split(spark, sf_dir, stratify="sentiment_label"):
 
 def _flag_split(spark, sf_dir):
     """Every review has flags, with or without a label; each text once."""
-    return materialise(sampling.split_rows(materialise(cleaning.preprocess(t.reviews(spark, sf_dir))), "f_not_english"))
+    split = sampling.split_rows(materialise(cleaning.preprocess(t.reviews(spark, sf_dir))), "f_not_english")
+    return materialise(split.select("review_id", "clean_text", *t.FLAGS, "split"))
 
 
 def _train_test(spark, sf_dir):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tracemalloc
 
 import pytest
 
@@ -11,6 +12,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from reviewmill.session import local_session  # noqa: E402
 
 
+@pytest.fixture(autouse=True)
+def own_trace():
+    """What one test traces of memory must not count in the peak of the next."""
+    yield
+    tracemalloc.stop()
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "8g")
