@@ -95,7 +95,8 @@ def corpus_terms(
                     yield from (out.slice(i, HANDED) for i in range(0, out.num_rows, HANDED))
 
     parts = df.select(tokens(F.col(text), accents).alias("words")).mapInArrow(task, "term string, cf long, df long")
-    return parts.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
+    # Slices have few terms in common, so summing them before the shuffle as well would cost more than it saves.
+    return parts.repartition("term").groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
 # The functions travel with the tasks, so executors need not have the package installed.

@@ -26,6 +26,8 @@ from reviewmill.operators.passes import Sparse, gathered, numbers, sliced, summe
 
 #: Steps that a model remembers; each takes two numbers per weight on the driver (60: 120 MB for 25,000 terms and 5 models).
 MEMORY = 60
+#: Slopes of a logistic fit that count as level, against the squared norm of its weights.
+LEVEL = 5e-3
 #: Trust region: shares of the predicted decrease at which a step is taken and the region shrinks or grows.
 TAKEN, POOR, GOOD = 1e-4, 0.25, 0.75
 INNER_STEPS = 15
@@ -156,8 +158,8 @@ def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -> Linear:
     """Limited-memory quasi-Newton steps of all models side by side, each with its own memory and step length.  Done when
-    every model's gradient is below ``tolerance`` times its gradient at zero; a model that is done, or has found its step
-    length, takes no part in the passes for the others."""
+    every model's gradient is below ``tolerance`` times its gradient at zero and level (see :func:`steep`); a model that is
+    done, or has found its step length, takes no part in the passes for the others."""
     rows = gathered(problem.rows)
     problem = replace(problem, rows=rows, tasks=tasks_of(rows))
     weights = np.zeros((problem.width + 1, len(problem.targets)))
@@ -167,6 +169,7 @@ def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -
     # Directions are measured by the curvature at zero, so common and rare terms move alike.
     first = 1 / np.maximum(logistic_curvature(problem, weights), 1e-12)
     scale, used = np.ones(len(loss)), 2
+    rounding = 1e-9 * loss
     live = at_zero > 0
     while live.any() and used < passes:
         direction = -two_loops(gradient, steps, scale * first) * live
@@ -191,9 +194,18 @@ def fit_logistic(problem: Problem, tolerance: float = 1e-3, passes: int = 300) -
         steps = [*steps[1 - MEMORY :], (s, y, np.where(counts, 1 / np.where(counts, product, 1), 0))]
         scale = np.where(counts, product / np.where(counts, square, 1), scale)
         weights, loss, gradient = there, new_loss, new_gradient
-        live = live & (np.linalg.norm(gradient, axis=0) > tolerance * at_zero)
+        live = live & ((np.linalg.norm(gradient, axis=0) > tolerance * at_zero) | steep(problem, weights, gradient, rounding))
     norms = np.linalg.norm(gradient, axis=0)
-    return Linear(weights, norms, at_zero, used, bool((norms <= tolerance * at_zero).all()), problem.scale)
+    done = (norms <= tolerance * at_zero) & ~steep(problem, weights, gradient, rounding)
+    return Linear(weights, norms, at_zero, used, bool(done.all()), problem.scale)
+
+
+def steep(problem: Problem, weights: np.ndarray, gradient: np.ndarray, rounding: np.ndarray) -> np.ndarray:
+    """Per model whether its loss with its penalty still changes along its weights or its intercept, against the penalty.  The
+    gradient at zero grows with the rows and the penalty does not, so with many rows a small share of it is no optimum yet."""
+    counted = problem.penalised(weights)
+    along, level = np.abs(dots(counted, gradient)), np.abs(gradient[-1])
+    return np.maximum(along, level) > LEVEL * dots(counted, counted) + rounding
 
 
 def shortened(length: np.ndarray, slope: np.ndarray, rise: np.ndarray) -> np.ndarray:
